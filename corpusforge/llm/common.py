@@ -146,7 +146,7 @@ def guess_language(words_lower: list[str], least: float = 1.5) -> str:
 # ------------------------------------------------------------------ sentences
 #: Abbreviations after which a full stop does not end a sentence.
 ABBREVIATIONS = frozenset(
-    "jf stk nr bl a ca kl dvs f eks fx m v mv o osv pga ang evt hr fr dr prof tlf inkl ekskl max min art pkt cf sec no i e g vs etc al "
+    "jf stk nr bl a ca kl dvs f eks fx m v mv o osv pga ang evt hr fr dr prof tlf inkl ekskl max min pkt cf sec no i e g vs etc al "
     "mr mrs ms st vgl abs u z b d h usw ggf bzw ev t ex kap".split()
 )
 END = re.compile(r"[.!?…]+[\"'»«”“’)\]]*(?=\s|$)")
