@@ -102,16 +102,16 @@ def plain_lang(c: Column) -> Column:
 FUNCTION_WORDS = {
     "da": "og i at det er en den til af på for ikke der var med de han har som et jeg om vi du fra så men hun kan vil ved skal ud "
           "hvad blev eller ind op over efter nu også når dem hvor hvis under sig mig dig os kun hans hendes dette denne disse "
-          "mellem uden mod hver noget nogle meget siden fordi bag langs foran omkring både samt",
+          "hvordan hvorfor hvilken hvilke fortæl beskriv forklar skriv mellem uden mod hver noget nogle meget siden fordi bag langs foran omkring både samt",
     "sv": "och i att det är en den till av på för inte där var med de han har som ett jag om vi du från så men hon kan vill vid "
-          "ska ut vad blev eller in upp över efter nu också när dem hur under sig mig dig oss bara detta denna dessa mellan utan "
+          "ska ut vad blev eller in upp över efter nu också när dem hur under sig mig dig oss bara detta denna dessa hur varför vilken vilka berätta beskriv förklara mellan utan "
           "mot varje något några mycket sedan eftersom bakom längs medan utanför både samt finns",
     "en": "the of and to in a is that it was for on are with as his they at be this have from or one had by but not what all were "
           "we when your can there an which their if will each about how up out them then she many some so these would other into "
-          "has more her two him see could no than been its who now my over did down only because behind along near while",
+          "has more her two him see could no than been its who now my over did down only because behind along near while why tell explain describe write",
     "de": "der die das und in zu den mit von ist des sich dem nicht ein eine als auch es an er so dass kann aus wird bei oder auf "
           "nach im wir sie war einen einer um am sind noch wie haben nur über vor zur bis mehr durch man sein wurde wenn hat für "
-          "unter während weil hinter zwischen unweit beim zum einem eines ihr ihre",
+          "unter während weil hinter zwischen unweit beim zum einem eines ihr ihre was warum wer man erzähle erkläre erklären beschreibe mir",
 }
 LANGS = tuple(FUNCTION_WORDS)
 _MASK: dict[str, int] = {}
@@ -123,13 +123,15 @@ _WEIGHT = {m: [(1.0 if m == 1 << i else 0.25) if m >> i & 1 else 0.0 for i in ra
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def language_scores(words_lower: list[str]) -> tuple[int, list[float]]:
-    """Number of function words (of any language), and the weight for each of LANGS."""
+def language_scores(words_lower: list[str], exclusive: bool = False) -> tuple[int, list[float]]:
+    """Number of function words (of any language), and the weight for each of LANGS; ``exclusive``: of words proper to one."""
     c = Counter(map(_MASK.get, words_lower))
     none = c.pop(None, 0)
     s = [0.0] * 4
     for m, n in c.items():
         w = _WEIGHT[m]
+        if exclusive and m & (m - 1):
+            continue
         for i in range(4):
             if w[i]:
                 s[i] += w[i] * n

@@ -25,6 +25,9 @@ SENTENCE_END = re.compile(r"[.!?…][\"'»«”“’)\]]*\s+(?=[\"'»«„“(]
 CLOSING_ABBREVIATIONS = frozenset("v m mv o osv etc al usw kr mio mia st u a d h aar".split())
 
 
+BLANKS = " \t\r\n\u00a0\u200b\u2028\ufeff"
+
+
 def _last_fragment(line: str) -> tuple[str, bool]:
     """What follows the last finished sentence of the line; whether a finished sentence stands before it."""
     at = 0
@@ -47,7 +50,7 @@ def function_word(w: str) -> bool:
 def ending_evidence(text: str | None, original: str | None = None) -> float:
     """Log-likelihood ratio of cut against whole. ``original``: the longer text the value was taken from, if known.
     Null and blank texts give -9 (nothing was cut off)."""
-    t = (text or "").rstrip(" \t\r\n ​﻿")
+    t = (text or "").rstrip(BLANKS)
     if not t:
         return -9.0
     follow = None
@@ -55,28 +58,29 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
         k = original.find(t)
         if k >= 0:
             follow = original[k + len(t):]
-    m = OMITTED.search(t)
-    if m and (m.group().strip()[:1] in "….([" or HINT_ALONE.search(t[: m.start()].rstrip() + " x y")):
+    tail = t[-160:]
+    m = OMITTED.search(tail)
+    if m and (m.group().strip()[:1] in "….([" or HINT_ALONE.search(tail[: m.start()].rstrip() + " x y")):
         return 7.0
-    if GLUED.search(t):
+    if GLUED.search(tail):
         return 6.0
     if follow is not None and follow[:1].isalnum():
         return 7.0
-    if SPACED.search(t):
-        before = re.findall(r"[^\W\d_]+", SPACED.split(t)[0][-60:])
+    if SPACED.search(tail):
+        before = re.findall(r"[^\W\d_]+", SPACED.split(tail)[0][-60:])
         if before and function_word(before[-1]):
             return 5.0
         return 4.0 if original and follow is None and original.rstrip() != t else -4.0
-    if HYPHEN.search(t):
+    if HYPHEN.search(tail):
         return 6.0
-    rest = follow.split("\n", 1)[0].strip(" \t\r ") if follow is not None else ""
+    rest = follow.split("\n", 1)[0].strip(BLANKS) if follow is not None else ""
     line = t.rsplit("\n", 1)[-1]
-    s = STOP.search(t)
+    s = STOP.search(tail)
     if s:
         b = e = s.start()
-        while b > 0 and t[b - 1].isalnum():
+        while b > 0 and tail[b - 1].isalnum():
             b -= 1
-        w = t[b:e].lower()
+        w = tail[b:e].lower()
         if s.group() == "." and (w in ABBREVIATIONS or len(w) == 1 and w.isalpha()):
             if rest and (rest[0].islower() or rest[0].isdigit() or rest[0] in "§,"):
                 return 6.0
@@ -88,7 +92,7 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
         return -5.0
     if rest and rest[0] not in "…":
         return -4.0 if rest in ("»", "«", '"', "”", ")") else 6.0
-    if MARKUP.search(t):
+    if MARKUP.search(tail):
         return -2.0
     if t[-1] in "»«\"”’)" and len(t) > 1 and t[-2] in ".!?…":
         return -5.0
