@@ -36,7 +36,7 @@ def completer_of(s: Settings, kind: str) -> Completer:
 def _with_order(spark: SparkSession, path: str, schema) -> DataFrame:
     """A stage file with a total order of its rows: the hash of their content, duplicates numbered by nothing."""
     df = tables.read_jsonl(spark, path, schema)
-    return df.withColumn("seq", F.xxhash64(*df.columns))
+    return df.withColumn("seq", F.md5(F.to_json(F.struct(*df.columns))))
 
 
 def run_extract(spark: SparkSession, s: Settings, dataset: str = DEFAULT_DATASET, subset: str = "", text: str = "text", title: str = "title", url: str = "url", n_samples: int = 0, seed: int = 42, min_chars: int = 100, max_chars: int = 3000) -> str:
