@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import WORD, WS, count_if, matched_chars, member, split_lines, split_words, strip
 
-T, WORDS, LINES = F.col("paragraph"), F.col("_words"), F.col("_lines")
+def text() -> Column:
+    return F.col("paragraph")
 
 
-def with_parts(df: DataFrame, text: str = "paragraph") -> DataFrame:
+def words() -> Column:
+    return F.col("_words")
+
+
+def lines() -> Column:
+    return F.col("_lines")
+
+
+def with_parts(df: DataFrame, column: str = "paragraph") -> DataFrame:
     """Adds ``_words`` and ``_lines``, which the rules read (and ``paragraph``, if the text has another name). Null reads as ""."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    t = F.coalesce(F.col(column), F.lit(""))
     return df.withColumn("paragraph", t).withColumn("_words", split_words(t)).withColumn("_lines", split_lines(t))
 
 
@@ -31,52 +40,52 @@ def heading() -> Column:
 
 
 def length(min_chars: int = 100, max_chars: int = 3000) -> Column:
-    return ~F.length(T).between(min_chars, max_chars)
+    return ~F.length(text()).between(min_chars, max_chars)
 
 
 def mostly_list() -> Column:
     """More than half of the lines are list items or table rows, or there is no line."""
     starts = lambda l: F.substring(l, 1, 2).isin(*fixed.LIST_STARTS)
-    return (F.size(LINES) == 0) | (count_if(LINES, starts) * 2 > F.size(LINES))
+    return (F.size(lines()) == 0) | (count_if(lines(), starts) * 2 > F.size(lines()))
 
 
 def links() -> Column:
     """More than 40 % of the characters are Markdown links, or there is no character."""
-    return (F.length(T) == 0) | (matched_chars(T, r"(?d)\[.*?\]\(.*?\)") * 10 > F.length(T) * 4)
+    return (F.length(text()) == 0) | (matched_chars(text(), r"(?d)\[.*?\]\(.*?\)") * 10 > F.length(text()) * 4)
 
 
 def stub() -> Column:
-    t = F.lower(T)
+    t = F.lower(text())
     return t.contains("stub") & (t.contains("denne artikel") | t.contains("denne side"))
 
 
 def years() -> Column:
     """Of 20 words or more, more than one in 30 is a year from 1000 to 2099 (ASCII digits)."""
     year = lambda w: w.rlike(r"\A\(?[0-9]{4}[).,;:-]*\z") & F.regexp_extract(w, "([0-9]{4})", 1).between("1000", "2099")
-    return (F.size(WORDS) >= 20) & (count_if(WORDS, year) * 30 > F.size(WORDS))
+    return (F.size(words()) >= 20) & (count_if(words(), year) * 30 > F.size(words()))
 
 
 def few_sentences(least: int = 3) -> Column:
-    return count_if(F.split(strip(T), rf"[.!?](?:{WS}|\z)", -1), lambda s: strip(s) != "") < least
+    return count_if(F.split(strip(text()), rf"[.!?](?:{WS}|\z)", -1), lambda s: strip(s) != "") < least
 
 
 def foreign_script() -> Column:
     ranges = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in fixed.FOREIGN_SCRIPTS)
-    return T.rlike(f"[{ranges}]")
+    return text().rlike(f"[{ranges}]")
 
 
 def doubled() -> Column:
     """Two words or more with a run of two to four characters doubled."""
     legit = member(fixed.DOUBLED_ALLOWED)
-    low = F.transform(WORDS, lambda w: F.lower(bare(w, fixed.WORD_SIGNS)))
+    low = F.transform(words(), lambda w: F.lower(bare(w, fixed.WORD_SIGNS)))
     return count_if(low, lambda w: w.rlike(rf"({WORD}{{2,4}})\1") & ~legit(w)) >= 2
 
 
 def stray() -> Column:
     """Of more than 10 words, more than 5 % are clusters of one to three characters without a vowel."""
-    low = F.transform(WORDS, lambda w: F.lower(bare(w, fixed.WORD_SIGNS_LONG)))
+    low = F.transform(words(), lambda w: F.lower(bare(w, fixed.WORD_SIGNS_LONG)))
     odd = lambda w: F.length(w).between(1, 3) & ~w.rlike(f"[{fixed.VOWELS}]")
-    return (F.size(WORDS) > 10) & (count_if(low, odd) * 20 > F.size(WORDS))
+    return (F.size(words()) > 10) & (count_if(low, odd) * 20 > F.size(words()))
 
 
 def corrupted() -> Column:
@@ -86,22 +95,22 @@ def corrupted() -> Column:
 def quotes() -> Column:
     """More than 40 % of the lines start as speech, or of the characters stand in quotation marks; or there is no line."""
     start = lambda l: F.substring(l, 1, 2).isin(*[s for s in fixed.SPEECH_STARTS if len(s) == 2]) | F.substring(l, 1, 1).isin(*[s for s in fixed.SPEECH_STARTS if len(s) == 1])
-    inside = sum((matched_chars(T, f"{a}[^{b}]{{2,}}{b}") for a, b in fixed.QUOTE_PAIRS), F.lit(0))
-    return (F.size(LINES) == 0) | (count_if(LINES, start) * 10 > F.size(LINES) * 4) | (inside * 10 > F.length(T) * 4)
+    inside = sum((matched_chars(text(), f"{a}[^{b}]{{2,}}{b}") for a, b in fixed.QUOTE_PAIRS), F.lit(0))
+    return (F.size(lines()) == 0) | (count_if(lines(), start) * 10 > F.size(lines()) * 4) | (inside * 10 > F.length(text()) * 4)
 
 
 def boilerplate() -> Column:
     """Of three lines or more, over 60 % are under eight words and do not end as a sentence does."""
     short = lambda l: (F.size(split_words(l)) < 8) & ~l.rlike(r"[.!?:]\z")
-    return (F.size(LINES) >= 3) & (count_if(LINES, short) * 10 > F.size(LINES) * 6)
+    return (F.size(lines()) >= 3) & (count_if(lines(), short) * 10 > F.size(lines()) * 6)
 
 
 def old_spelling() -> Column:
     """Of 20 words or more, over 2 % have aa (place names apart) or over 1 % are words of the old spelling."""
-    low = F.transform(WORDS, lambda w: F.lower(bare(w, fixed.WORD_SIGNS_LONG)))
+    low = F.transform(words(), lambda w: F.lower(bare(w, fixed.WORD_SIGNS_LONG)))
     place, old = member(fixed.AA_PLACES), member(fixed.OLD_WORDS)
     aa = count_if(low, lambda w: w.contains("aa") & ~place(w))
-    return (F.size(WORDS) >= 20) & ((aa * 50 > F.size(WORDS)) | (count_if(low, old) * 100 > F.size(WORDS)))
+    return (F.size(words()) >= 20) & ((aa * 50 > F.size(words())) | (count_if(low, old) * 100 > F.size(words())))
 
 
 def rules(wiki: bool, min_chars: int = 100, max_chars: int = 3000) -> list[tuple[str, Column]]:
@@ -120,6 +129,6 @@ def verdict(wiki: bool, min_chars: int = 100, max_chars: int = 3000) -> Column:
     return v.otherwise("kept")
 
 
-def judged(df: DataFrame, wiki: bool, text: str = "paragraph", min_chars: int = 100, max_chars: int = 3000) -> DataFrame:
+def judged(df: DataFrame, wiki: bool, column: str = "paragraph", min_chars: int = 100, max_chars: int = 3000) -> DataFrame:
     """Adds ``verdict``."""
-    return with_parts(df, text).withColumn("verdict", verdict(wiki, min_chars, max_chars)).drop("_words", "_lines")
+    return with_parts(df, column).withColumn("verdict", verdict(wiki, min_chars, max_chars)).drop("_words", "_lines")

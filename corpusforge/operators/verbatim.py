@@ -24,7 +24,6 @@ def matching_share(source: str, extract: str) -> float:
     return sum(b.size for b in m.get_matching_blocks()) / len(extract)
 
 
-@F.pandas_udf("double")
 def _shares(source: pd.Series, extract: pd.Series) -> pd.Series:
     return pd.Series([matching_share(a, b) for a, b in zip(source, extract)], dtype="float64")
 
@@ -34,6 +33,6 @@ def verbatim(df: DataFrame, source: str, extract: str, threshold: float = 0.9) -
     row, so the two kinds of rows go separate ways."""
     d = df.withColumn("_in", contained(F.col(source), F.col(extract)))
     fast = d.where("_in").withColumn("verbatim", F.lit(True))
-    share = _shares(squeezed(F.coalesce(source, F.lit(""))), squeezed(F.coalesce(extract, F.lit(""))))
+    share = F.pandas_udf(_shares, "double")(squeezed(F.coalesce(source, F.lit(""))), squeezed(F.coalesce(extract, F.lit(""))))
     slow = d.where(~F.col("_in")).withColumn("verbatim", share >= threshold)
     return fast.unionByName(slow).drop("_in")
