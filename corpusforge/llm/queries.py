@@ -67,6 +67,10 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p6_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.counted(table(spark, d, "selected"), "selected_id", "paragraph", tokens.slices(), tokens.vocabulary_path(spark))
+
+
 def p6_budget(spark: SparkSession, d: str) -> DataFrame:
     return tokens.budget(table(spark, d, "selected"), path=tokens.vocabulary_path(spark))
 
@@ -110,7 +114,7 @@ def p9_levels(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_quality, p2_found, p2_clean, p3_found, p3_report, p4_found, p4_blocks, p4_clean, p5_found, p5_report, p6_budget,
+        p1_found, p1_quality, p2_found, p2_clean, p3_found, p3_report, p4_found, p4_blocks, p4_clean, p5_found, p5_report, p6_tokens, p6_budget,
         p7_pack, p7_joint, p7_usage, p8_mix, p8_shares, p9_found, p9_levels,
     )
 }

@@ -77,10 +77,10 @@ def text_hash(c: Column) -> list[Column]:
 
 
 def distinct_sizes(docs: DataFrame, text: str, path: str) -> DataFrame:
-    """(h1, h2, tokens, chars): one row for each distinct text that is not null. The text itself is aggregated with
+    """(h1, h2, copies, tokens, chars): one row for each distinct text that is not null. The text itself is aggregated with
     ``first`` on the map side, so each map task sends a distinct text once at most."""
-    one = docs.where(F.col(text).isNotNull()).select(*text_hash(F.col(text)), F.col(text).alias("text")).groupBy("h1", "h2").agg(F.first("text").alias("text"))
-    return map_rows(one, ["h1", "h2"], ["text"], lambda t: (count_tokens(t, path), len(t)), "tokens long, chars long")
+    one = docs.where(F.col(text).isNotNull()).select(*text_hash(F.col(text)), F.col(text).alias("text")).groupBy("h1", "h2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return map_rows(one, ["h1", "h2", "copies"], ["text"], lambda t: (count_tokens(t, path), len(t)), "tokens long, chars long")
 
 
 def sizes(docs: DataFrame, key: str, text: str, keep: list[str], path: str) -> DataFrame:
@@ -88,17 +88,34 @@ def sizes(docs: DataFrame, key: str, text: str, keep: list[str], path: str) -> D
     return map_rows(docs, [key, *keep], [text], lambda t: (count_tokens(t, path),), "tokens long")
 
 
+SALTS = 4
+
+
+def counted(docs: DataFrame, key: str, text: str, keep: list[Column], path: str) -> DataFrame:
+    """(key, keep..., tokens, chars, copies) for each distinct key (null keys stay out). Each distinct text is tokenised once
+    and its count joined back; the join is salted by key, so that a text that many rows hold is no single task's work.
+    ``copies`` is the number of rows with that text."""
+    rows = docs.where(F.col(key).isNotNull()).select(key, *text_hash(F.coalesce(F.col(text), F.lit(""))), *keep).dropDuplicates([key])
+    size = distinct_sizes(docs, text, path).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    j = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(size, ["h1", "h2", "salt"], "left").drop("salt", "h1", "h2")
+    return j.na.fill(0, ["tokens", "chars", "copies"])
+
+
 def domain(url: Column) -> Column:
     """Host of a URL in lower case without port; null, blank, ``None`` or no URL is ``unknown``."""
     host = F.lower(F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@\s]*@)?([^/:?#\s]+)", 1))
     return F.when(F.coalesce(host, F.lit("")) == "", F.lit("unknown")).otherwise(host)
 
 
+def slices(source: str = "source_type", lang: str = "lang", url: str = "url") -> list[Column]:
+    return [plain_source(F.col(source), "knowledge").alias("source"), plain_lang(F.col(lang)).alias("lang"), domain(F.col(url)).alias("domain")]
+
+
 def budget(docs: DataFrame, key: str = "selected_id", text: str = "paragraph", path: str = VOCABULARY, source: str = "source_type", lang: str = "lang", url: str = "url") -> DataFrame:
     """The operator: (source, lang, domain, passages, distinct_texts, tokens, distinct_tokens, chars, level). ``tokens``
     counts each passage once; ``distinct_tokens`` each distinct text once within the slice. ``level`` is ``slice`` for the
     finest rows; totals by source, by language, by domain and overall follow, with ``*`` for what is summed over."""
-    keep = [plain_source(F.col(source), "knowledge").alias("source"), plain_lang(F.col(lang)).alias("lang"), domain(F.col(url)).alias("domain")]
+    keep = slices(source, lang, url)
     empty = F.coalesce(F.col(text), F.lit(""))
     rows = docs.where(F.col(key).isNotNull()).select(key, *text_hash(empty), *keep).dropDuplicates([key])
     # a text's multiplicity in a slice is one row before it meets its size, so a text that many rows repeat is no hot key
