@@ -297,12 +297,17 @@ def is_noise(text: str, nodes: list[Node]) -> bool:
         return True
     if len(_LOGLINE.findall(text)) * 2 > len(lines):
         return True
-    rest = re.sub(r"<[^<>]*>", " ", text) if any(n.lang == "html" and n.kind == "tag" for n in nodes) else text
+    out, at = [], 0
+    for n in nodes:  # the signs of sure constructs are no noise, their words count
+        if n.weight >= 7 and n.start >= at:
+            out += [text[at:n.start], re.sub(r"<[^<>]*>|[^\w\s]+", " ", text[n.start:n.end])]
+            at = n.end
+    rest = "".join(out) + text[at:]
     words = rest.split()
     if len(rest) > 25 * max(1, len(words)):
         return True
     common, _ = language_scores([w.lower() for w in WORD.findall(rest)])
-    return common * 12 < len(words) and len(_NOISE.findall(rest)) * 9 > len(rest)
+    return len(rest) >= 60 and common * 12 < len(words) and len(_NOISE.findall(rest)) * 9 > len(rest)
 
 
 def found(text: str) -> list[str]:
