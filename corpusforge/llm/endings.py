@@ -1,4 +1,6 @@
-"""Evidence that a text stops before its last sentence is finished, as a log-likelihood ratio (positive: cut)."""
+"""Evidence that a text stops before its last sentence is finished, as a log-likelihood ratio (positive: cut).
+
+A finished sentence (-9) outweighs any posterior of a limit: length alone makes no case."""
 
 from __future__ import annotations
 
@@ -70,7 +72,7 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
         before = re.findall(r"[^\W\d_]+", SPACED.split(tail)[0][-60:])
         if before and function_word(before[-1]):
             return 5.0
-        return 4.0 if original and follow is None and original.rstrip() != t else -4.0
+        return 4.0 if original and follow is None and original.rstrip() != t else -6.0
     if HYPHEN.search(tail):
         return 6.0
     rest = follow.split("\n", 1)[0].strip(BLANKS) if follow is not None else ""
@@ -85,17 +87,17 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
             if rest and (rest[0].islower() or rest[0].isdigit() or rest[0] in "§,"):
                 return 6.0
             if w in CLOSING_ABBREVIATIONS or len(w) < 2:
-                return -4.0
+                return -6.0
             return 3.5
         if s.group() == "." and w.isdigit() and rest and (rest[0].islower() or rest[0].isdigit()):
             return 6.0
-        return -5.0
+        return -9.0
     if rest and rest[0] not in "…":
         return -4.0 if rest in ("»", "«", '"', "”", ")") else 6.0
     if MARKUP.search(tail):
         return -2.0
     if t[-1] in "»«\"”’)" and len(t) > 1 and t[-2] in ".!?…":
-        return -5.0
+        return -9.0
     fragment, after = _last_fragment(line)
     ws = fragment.split()
     closed_line = follow is not None and follow[:1] == "\n"

@@ -91,7 +91,7 @@ def fit_censored(pdf: pd.DataFrame) -> pd.DataFrame:
     for x, l, k, c in zip(lim.length, L, lim.n, cens):
         dens = math.exp(-0.5 * ((l - mu) / sd) ** 2) / (sd * math.sqrt(2 * math.pi) * float(x))
         expected = min(float(k), max(total * dens, float(k) - c))
-        out.append((pdf.source.iloc[0], pdf.unit.iloc[0], int(x), int(k), mu, sd, int(total), expected, min(0.995, max(0.0, (float(k) - expected) / float(k)))))
+        out.append((pdf.source.iloc[0], pdf.unit.iloc[0], int(x), int(k), mu, sd, int(total), expected, min(0.98, max(0.0, (float(k) - expected) / float(k)))))
     return pd.DataFrame(out, columns=[c.split()[0] for c in FIT.split(", ")])
 
 
