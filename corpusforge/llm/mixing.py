@@ -9,12 +9,14 @@ For a mix, T is the total wanted (by default the tokens its sources hold). A sou
 the budget w*T, at most max_repeats*S: every document is used floor(budget/S) times, and those below the threshold once
 more. A source too small for its share is used max_repeats times and no other source takes its place, so that the others
 keep their proportions; the shares reached are reported. Histograms have at most 4096 rows a source, targets are few by
-their nature; neither is collected. Rows without key or source, and sources in no mix, are left out; a repeated key
+their nature (broadcast only if no more than FEW_TARGETS); neither is collected. Rows without key or source, and sources in no mix, are left out; a repeated key
 counts once; documents of 0 tokens are used like the rest of their hash range.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from .common import materialise, plain_source
 from .tokens import VOCABULARY, sizes
 
 BITS, LEVELS, WIDTH = 60, 3, 12
+#: Targets up to this number are broadcast; more meet the documents in a plain join.
+FEW_TARGETS = 10_000
 
 
 def hashed(key: Column) -> Column:
@@ -50,12 +54,12 @@ def budgets(supply: DataFrame, targets: DataFrame, total_tokens: int | None) ->
     return j.withColumn("rest", F.greatest(rest, F.lit(0.0)))
 
 
-def thresholds(s: DataFrame, b: DataFrame) -> DataFrame:
+def thresholds(s: DataFrame, b: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(mix, source, upto): documents with a hash below ``upto`` take part once more."""
     cur = b.where("rest > 0 and supply > 0").select("mix", "source", "rest", F.lit(0).cast("long").alias("prefix"))
     for level in range(LEVELS):
         shift = BITS - WIDTH * level
-        inside = s.join(cur.select("source", F.col("prefix").alias("p")).distinct(), "source") if level else s.withColumn("p", F.lit(0).cast("long"))
+        inside = s.join(hint(cur.select("source", F.col("prefix").alias("p")).distinct()), "source") if level else s.withColumn("p", F.lit(0).cast("long"))
         if level:
             inside = inside.where(F.shiftrightunsigned(F.col("h"), shift) == F.shiftrightunsigned(F.col("p"), shift))
         hist = inside.groupBy("source", "p", bucket(level).alias("b")).agg(F.sum("tokens").alias("t"))
@@ -76,17 +80,19 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     s = materialise(s.select("doc_id", F.col("v.src").alias("source"), F.col("v.tokens").alias("tokens"), hashed(F.col("doc_id")).alias("h")), "mix-sizes")
     supply = s.groupBy("source").agg(F.sum("tokens").alias("supply"), F.count("*").alias("docs"))
     b = materialise(budgets(supply, targets, total_tokens), "budgets")
-    low = thresholds(s, b)
+    few = b.limit(FEW_TARGETS + 1).count() <= FEW_TARGETS
+    hint = F.broadcast if few else (lambda t: t)
+    low = thresholds(s, b, hint)
     # the last bucket holds a 2^-36 part of a source: its rows are taken in the order of their hash while they fit
     bits = BITS - WIDTH * LEVELS
-    edge = s.join(low, "source").where(F.shiftrightunsigned(F.col("h"), bits) == F.shiftrightunsigned(F.col("low"), bits))
+    edge = s.join(hint(low), "source").where(F.shiftrightunsigned(F.col("h"), bits) == F.shiftrightunsigned(F.col("low"), bits))
     run = F.sum("tokens").over(W.partitionBy("mix", "source").orderBy("h").rangeBetween(W.unboundedPreceding, 0))
     last = edge.withColumn("run", run).where("run <= rest").groupBy("mix", "source").agg(F.max("h").alias("h_last"))
     upto = low.join(last, ["mix", "source"], "left").select("mix", "source", F.coalesce(F.col("h_last") + 1, F.col("low")).alias("upto"))
     # a rest that no bucket passes takes the whole source (rounding of the budget only)
     plan = b.join(upto, ["mix", "source"], "left").withColumn("upto", F.when(F.col("rest") > 0, F.coalesce("upto", F.lit(1 << BITS))).otherwise(F.lit(0)))
     repeats = F.col("passes") + (F.col("h") < F.col("upto")).cast("long")
-    uses = s.join(plan.select("mix", "source", "passes", "upto"), "source").withColumn("repeats", repeats).where("repeats > 0").select("mix", "doc_id", "source", "tokens", F.col("repeats").cast("int").alias("repeats"))
+    uses = s.join(hint(plan.select("mix", "source", "passes", "upto")), "source").withColumn("repeats", repeats).where("repeats > 0").select("mix", "doc_id", "source", "tokens", F.col("repeats").cast("int").alias("repeats"))
     got = uses.groupBy("mix", "source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("used_docs"), F.max("repeats").alias("most_repeats"))
     r = b.join(got, ["mix", "source"], "left").na.fill(0, ["tokens", "used_docs", "most_repeats"])
     whole = F.sum("tokens").over(W.partitionBy("mix"))

@@ -14,6 +14,7 @@ import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import CLOSED, WORD, LANGS, language_scores, map_rows, materialise
@@ -157,11 +158,10 @@ def references(stats: DataFrame, least: int = 200) -> DataFrame:
     sketch, whose quartiles are those of the corpus."""
     s = sketches(stats)
     q = s.select("lang", "n", *[F.kll_sketch_get_quantile_double(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in STATS])
-    whole = q.where("lang = '*'").select(*[F.col(c).alias(f"w_{c}") for c in STATS])
-    own = q.where("lang <> '*'").crossJoin(F.broadcast(whole))  # one row on the right
+    everything = W.partitionBy(F.lit(0))  # six rows: the languages and the row of the whole corpus
+    own = q.select("*", *[F.max(F.when(F.col("lang") == "*", F.col(c))).over(everything).alias(f"w_{c}") for c in STATS]).where("lang <> '*'")
     use = (F.col("lang") != "und") & (F.col("n") >= least)
-    out = own.select("lang", *[F.when(use, F.col(c)).otherwise(F.col(f"w_{c}")).alias(f"q_{c}") for c in STATS])
-    return out
+    return own.select("lang", *[F.when(use, F.col(c)).otherwise(F.col(f"w_{c}")).alias(f"q_{c}") for c in STATS])
 
 
 def z_scores(stats: DataFrame, refs: DataFrame) -> DataFrame:

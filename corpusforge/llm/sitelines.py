@@ -32,7 +32,7 @@ def normalised_line(c: Column) -> Column:
 
 def lines(docs: DataFrame, key: str, text: str, source: Column, min_letters: int = 20) -> DataFrame:
     """(doc, line_no, node_a, node_b, source): one row for each line with at least ``min_letters`` letters."""
-    parts = docs.select(F.col(key).alias("doc"), source.alias("source"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))
+    parts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), source.alias("source"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line"))
     # a line of fewer characters than letters wanted is left out before any regular expression runs
     parts = parts.where(F.length("line") >= min_letters).where(F.length(F.regexp_replace("line", r"[^\p{L}]", "")) >= min_letters)
     n = parts.select("doc", "source", (F.col("pos") + 1).alias("line_no"), normalised_line(F.col("line")).alias("norm"))
@@ -48,9 +48,13 @@ def repeated_nodes(occ: DataFrame, min_docs: int = 10) -> DataFrame:
 def kept_occurrences(occ: DataFrame, nodes: DataFrame) -> DataFrame:
     """Occurrences whose node has high support. The node side is replicated over the salts (it is a small part of the
     lines), the line side is salted by document, so that one hot line spreads over SALTS tasks."""
-    right = nodes.select("node_a", "node_b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return salted_join(occ, nodes.select("node_a", "node_b"), ["node_a", "node_b"], "left_semi")
+
+
+def salted_join(occ: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     left = occ.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-    return left.join(right, ["node_a", "node_b", "salt"], "left_semi").drop("salt")
+    return left.join(right, [*on, "salt"], how).drop("salt")
 
 
 def edges(kept: DataFrame, min_docs: int = 10) -> DataFrame:
@@ -89,7 +93,7 @@ def boilerplate(docs: DataFrame, key: str = "paragraph_id", text: str = "paragra
     nodes = materialise(repeated_nodes(occ, min_docs), "line-nodes")
     kept = materialise(kept_occurrences(occ, nodes), "line-places")
     block = components(nodes, edges(kept, min_docs))
-    places = kept.join(block, "node_a").select("doc", "source", "line_no", "block").distinct()
+    places = salted_join(kept, block, ["node_a"], "inner").select("doc", "source", "line_no", "block").distinct()
     names = kept.groupBy("source", "node_a").agg(F.min("norm").alias("line"))
     found = names.join(nodes.select("node_a", "docs"), "node_a").join(block, "node_a").select("block", "source", "node_a", "line", "docs")
     return places, found

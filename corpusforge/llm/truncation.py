@@ -100,7 +100,7 @@ def limits(m: DataFrame) -> DataFrame:
     counts = materialise(length_counts(m), "lengths")
     cand = candidate_limits(counts).select("source", "unit", "length", "n", "near")
     x = F.log(F.col("length").cast("double"))
-    off = counts.join(F.broadcast(cand.select("source", "unit", "length")), ["source", "unit", "length"], "left_anti")  # few limits a source
+    off = counts.join(cand.select("source", "unit", "length"), ["source", "unit", "length"], "left_anti")
     sums = off.groupBy("source", "unit").agg(F.sum("n").alias("n"), F.sum(x * F.col("n")).alias("sx"), F.sum(x * x * F.col("n")).alias("sxx"))
     none = F.lit(None)
     rows = sums.select("source", "unit", none.cast("int").alias("length"), "n", none.cast("double").alias("near"), "sx", "sxx").unionByName(
