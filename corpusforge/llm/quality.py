@@ -36,7 +36,8 @@ _GAP = re.compile(r"\S {2,}\S|\S\t+\S")
 _KEYED = re.compile(r"\S+(?: \S+){0,3}: \S+(?: \S+){0,5}$")
 _LAST = re.compile(r".*[.!?…][\"'»«”“’)\]]*(?=\s|$)", re.S)
 _ODD = re.compile(r"[^\w\s.,;:!?\"'()«»“”‘’„–—%§&/…|*•·>+=#\-]|(?<=[^\W\d_])[^\w\s'’\-/](?=[^\W\d_])|[^\w\s]{3,}")
-_BROKEN = re.compile(r"[^\W\d_A-ZÆØÅÄÖÜ][A-ZÆØÅÄÖÜ0-9^,.:!?][^\W_]|[\^~]|^[,.:!?]")
+_BROKEN = re.compile(r"[^\W\d_A-ZÆØÅÄÖÜ][A-ZÆØÅÄÖÜ0-9^,.:!?][^\W_]|[\^~]|(?<!\S)[,.:!?]")
+_URL = re.compile(r"\S+://\S+|\S+@\S+")
 _JSON = re.compile(r"\s*[\[{]\s*\"[^\"]{1,80}\"\s*:")
 _CRUMB = re.compile(r"\s(?:»|>|›|→)\s")
 _CLOSERS = "\"'»«”“’)]*_ "
@@ -107,7 +108,12 @@ def text_stats(text: str | None) -> tuple:
             if c * 10 >= len(part) and len(part) >= 2:
                 in_sentence += m.end()
                 if n - head >= 4:
-                    entries += 1
+                    rest = WORD.findall(l[m.end():].lower())
+                    c, _ = language_scores(rest)
+                    if c >= 2 and c * 5 >= len(rest):
+                        in_sentence += size - m.end()  # a sentence that was cut off
+                    else:
+                        entries += 1
                 continue
         if not closed and not mark and n >= 4:
             ws = WORD.findall(l)
@@ -120,9 +126,9 @@ def text_stats(text: str | None) -> tuple:
         entries += 1
     n_lines = len(lines)
     share = in_sentence / max(1, total)
-    pair_share = broken = 0.0
+    pair_share = 0.0
+    broken = len(_BROKEN.findall(_URL.sub(" ", plain) if "://" in plain or "@" in plain else plain)) / len(words)
     if share < 0.6 and len(low) >= 8:
-        broken = sum(1 for w in words if _BROKEN.search(w)) / len(words)
         pairs = Counter(zip(low, low[1:]))
         pair_share = sum(n for n in pairs.values() if n > 1) / (len(low) - 1)
     top = Counter(low).most_common(1)[0][1] / len(low) if len(low) >= 8 else 0.0
@@ -182,13 +188,14 @@ def verdict(z: DataFrame) -> DataFrame:
     junk = (
         c("is_json") | (c("log_share") > 0.4) | (c("crumbs") >= 3)
         | (c("z_symbol_ratio") > 2 * TAIL) & (c("cell_line_share") < 0.4)
-        | (c("broken_share") > 0.2)
+        | (c("broken_share") > 0.4)
         | (c("z_longest_word") > 2 * TAIL) & (c("chars") > 18 * c("words")) & (c("cell_line_share") < 0.4)
         | (c("z_distinct_share") < -TAIL) & (c("top_share") > 0.3)
         | (c("pair_share") > 0.25) & (c("cell_line_share") < 0.4)
     )
     table = (c("cell_line_share") >= 0.4) | (c("keyed_share") >= 0.5) | (c("flat_share") > 0.5)
-    kind = F.when(c("words") == 0, "empty").when(~not_prose, "prose").when(junk, "junk").when(table, "table").otherwise("list")
+    unreadable = (c("broken_share") > 0.4) & (c("words") >= 8) & (c("cell_line_share") < 0.4)
+    kind = F.when(c("words") == 0, "empty").when(unreadable, "junk").when(~not_prose, "prose").when(junk, "junk").when(table, "table").otherwise("list")
     return z.select(*z.columns, F.array_compact(F.array(*flags)).alias("flags"), kind.alias("kind"))
 
 
