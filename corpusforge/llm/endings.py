@@ -55,11 +55,16 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
     t = (text or "").rstrip(BLANKS)
     if not t:
         return -9.0
-    follow = None
+    follow, whole = None, t
     if original:
         k = original.find(t)
-        if k >= 0:
-            follow = original[k + len(t):]
+        end = k + len(t) if k >= 0 else -1
+        if end < 0:  # not letter for letter: the last words, whatever white space parts them
+            found = re.search(r"\s+".join(map(re.escape, t[-80:].split()[-6:])) + r"(?!\w)", original)
+            end = found.end() if found else -1
+        if end >= 0:
+            follow = original[end:]
+            whole = original[:end]
     tail = t[-160:]
     m = OMITTED.search(tail)
     if m and (m.group().strip()[:1] in "….([" or HINT_ALONE.search(tail[: m.start()].rstrip() + " x y")):
@@ -76,7 +81,7 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
     if HYPHEN.search(tail):
         return 6.0
     rest = follow.split("\n", 1)[0].strip(BLANKS) if follow is not None else ""
-    line = t.rsplit("\n", 1)[-1]
+    line = whole.rsplit("\n", 1)[-1]
     s = STOP.search(tail)
     if s:
         b = e = s.start()
