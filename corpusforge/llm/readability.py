@@ -28,6 +28,8 @@ from .common import ABBREVIATIONS, END, WORD, language_scores, materialise
 
 SHARE = 0.9
 TOP = 50_000
+#: Frequencies up to this number are broadcast (16 bytes each); more meet the words in a join salted by word.
+FEW_FREQUENCIES, SALTS = 200_000, 64
 #: Grades from which a text is easy or hard on the readers' scale of 1 to 10.
 EASY_TO, HARD_FROM = 3.7, 6.9
 MIN_WORDS = 12
@@ -47,10 +49,8 @@ def _sentences(line: str) -> list[str]:
     out, at = [], 0
     for m in END.finditer(line):
         if m.group()[0] == ".":
-            b = m.start()
-            while b > at and line[b - 1].isalnum():
-                b -= 1
-            w = line[b:m.start()].lower()
+            tail = line[max(at, m.start() - 20):m.start()].rsplit(None, 1)
+            w = tail[-1].rsplit(".", 1)[-1].lstrip("([»«\"“„'").lower() if tail else ""
             if w in ABBREVIATIONS or len(w) == 1 and w.isalpha() or w.isdigit() and line[m.end():m.end() + 2].strip()[:1].islower():
                 continue
         out.append(line[at:m.end()])
@@ -62,12 +62,18 @@ def _sentences(line: str) -> list[str]:
 
 
 def features(text: str | None) -> tuple:
-    """(words, prose_words, sentences, mean_sentence, long_sentence, mean_word, long_share, short_share, commas, prose_share)
+    """Figures of one text, see ``measured``."""
+    return measured(text)[0]
+
+
+def measured(text: str | None) -> tuple[tuple, list[str]]:
+    """The figures of one text and its words. The figures: (words, prose_words, sentences, mean_sentence, long_sentence, mean_word, long_share, short_share, commas, prose_share)
     of one text. Only running text counts: lines that are entries, headings, cells or noise are left out of all but ``words``.
     ``long_sentence`` is the 90th percentile of the words in a sentence, each sentence once."""
     if not text:
-        return (0, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+        return (0, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), []
     total = 0
+    everything: list[str] = []
     lens: list[int] = []
     letters = longw = shortw = words = commas = 0
     chars = prose = 0
@@ -76,12 +82,14 @@ def features(text: str | None) -> tuple:
         if not n_all:
             continue
         total += n_all
-        if ":" in line[:40]:
+        low = WORD.findall(line.lower())
+        everything += low
+        if ":" in line[:40] and _LABEL.match(line):
             line = _LABEL.sub("", line)
+            low = low[1:]
         chars += len(line)
         if "\t" in line or "   " in line or line.count("|") >= 2 or line.count(";") * 5 >= n_all and line.count(";") >= 2 or _ENTRY.match(line) or _HEAD.match(line):
             continue
-        low = WORD.findall(line.lower())
         if len(low) < 2 or len(_ODD.findall(line)) * 12 > len(line):
             continue
         common, _ = language_scores(low)
@@ -94,17 +102,18 @@ def features(text: str | None) -> tuple:
         sizes = list(map(len, low))
         letters += sum(sizes)
         words += len(low)
-        longw += sum(s >= 10 for s in sizes)
-        shortw += sum(s <= 5 for s in sizes)
+        by_size = Counter(sizes)
+        longw += sum(n for s, n in by_size.items() if s >= 10)
+        shortw += sum(n for s, n in by_size.items() if s <= 5)
         commas += line.count(",")
         for s in _sentences(line):
-            k = len(WORD.findall(s))
+            k = len(s.split())
             if k:
                 lens.append(k)
     if not words:
-        return (total, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+        return (total, 0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), everything
     lens.sort()
-    return (total, words, len(lens), words / len(lens), float(lens[min(len(lens) - 1, len(lens) * 9 // 10)]), letters / words, longw / words, shortw / words, commas / len(lens), prose / chars)
+    return (total, words, len(lens), words / len(lens), float(lens[min(len(lens) - 1, len(lens) * 9 // 10)]), letters / words, longw / words, shortw / words, commas / len(lens), prose / chars), everything
 
 
 FEATURES = "words int, prose_words int, sentences int, mean_sentence double, long_sentence double, mean_word double, long_share double, short_share double, commas double, prose_share double"
@@ -131,7 +140,11 @@ def word_ranks(counts: DataFrame) -> DataFrame:
     are the different frequencies only (under the square root of twice the tokens), so no sort of the words is needed."""
     hist = counts.groupBy("n").agg(F.count("*").alias("words"))
     hist = hist.withColumn("rank", F.sum("words").over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, 0))).select("n", "rank")
-    return counts.join(hist, "n").select("word", "n", "rank")
+    hist = materialise(hist, "frequencies")
+    if hist.limit(FEW_FREQUENCIES + 1).count() <= FEW_FREQUENCIES:
+        return counts.join(F.broadcast(hist), "n").select("word", "n", "rank")
+    wide = hist.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # half of all words occur once
+    return counts.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")).join(wide, ["n", "salt"]).select("word", "n", "rank")
 
 
 def top_words(ranks: DataFrame, top: int = TOP) -> dict[str, int]:
@@ -160,8 +173,7 @@ def _profiles(docs: DataFrame, key: str, text: str, top: dict[str, int], share:
     rare = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
 
     def one(t: str | None) -> tuple:
-        f = features(t)
-        low = word_list(t)
+        f, low = measured(t)
         if not low:
             return (*f, None, 0, None, None)
         rank_of = ranks.value
