@@ -6,7 +6,7 @@ expressions; ratios are compared by integer multiplication, which is exact and n
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space: the Unicode property together with the separators U+001C to U+001F.
@@ -17,13 +17,13 @@ WS_SQL = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 WORD = r"[\p{L}\p{N}_]"
 
 
-def strip(c: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+#: The same characters as a list, for trimming.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
-def blank(c: Column) -> Column:
-    return ~c.rlike(rf"[^{WS[1:-1]}]")
+def strip(c: Column) -> Column:
+    """Without white space at both ends (only the ends are looked at)."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def split_words(c: Column) -> Column:
@@ -55,3 +55,11 @@ def member(values: list[str] | tuple[str, ...]):
     """Test of membership in a fixed list, for use in lambdas."""
     have = F.array(*[F.lit(v) for v in values])
     return lambda x: F.array_contains(have, x)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds (or replaces) columns that are computed exactly once. A filter on what is derived from a column is pushed below
+    it with the column's whole expression put in, as often as it is named; it does not pass a generator, so
+    the columns come out of one that makes a single row."""
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import WORD, WS, count_if, matched_chars, member, split_lines, split_words, strip
+from ..functions.text import WORD, WS, count_if, matched_chars, member, once, split_lines, split_words, strip
 
 def text() -> Column:
     return F.col("paragraph")
@@ -26,8 +26,8 @@ def lines() -> Column:
 
 def with_parts(df: DataFrame, column: str = "paragraph") -> DataFrame:
     """Adds ``_words`` and ``_lines``, which the rules read (and ``paragraph``, if the text has another name). Null reads as ""."""
-    t = F.coalesce(F.col(column), F.lit(""))
-    return df.withColumn("paragraph", t).withColumn("_words", split_words(t)).withColumn("_lines", split_lines(t))
+    d = once(df, paragraph=F.coalesce(F.col(column), F.lit("")))
+    return once(d, _words=split_words(F.col("paragraph")), _lines=split_lines(F.col("paragraph")))
 
 
 def bare(w: Column, signs: str) -> Column:

@@ -58,29 +58,39 @@ def merged(blocks: Column, max_chars: int, joiner: Column) -> Column:
     return F.aggregate(blocks, start, step, flush)
 
 
-def blocks(text: Column, max_chars: int) -> Column:
-    """Blank-line blocks; if there is at most one and the text is too long, lines; if still at most one, sentences."""
-    def pieces(pattern: str) -> Column:
-        return F.filter(F.transform(F.split(text, pattern, -1), strip), lambda b: b != "")
+def pieces(text: Column, pattern: str) -> Column:
+    return F.filter(F.transform(F.split(text, pattern, -1), strip), lambda b: b != "")
+
 
-    long = F.length(text) > max_chars
-    by_blank, by_line = pieces(rf"\n{WS}*\n"), pieces("\n")
-    return F.when(~long | (F.size(by_blank) > 1), by_blank).when(F.size(by_line) > 1, by_line).otherwise(sentences(text))
+def _finer(text: Column, by_blank: Column, max_chars: int) -> Column:
+    """Blank-line blocks; if there is at most one and the text is too long, lines; if still at most one, sentences."""
+    by_line = pieces(text, "\n")
+    return F.when((F.length(text) <= max_chars) | (F.size(by_blank) > 1), by_blank).when(F.size(by_line) > 1, by_line).otherwise(sentences(text))
 
 
-def chunks(text: Column, max_chars: int = 3000) -> Column:
-    """Chunks of a plain text. Blocks are joined by a blank if the first of several has no line end in it, else by one."""
-    b = blocks(text, max_chars)
+def _joiner(b: Column) -> Column:
+    """A blank if the first of several blocks has no line end in it, else a line end."""
     first = F.coalesce(F.try_element_at(b, F.lit(1)), F.lit(""))
-    joiner = F.when((F.size(b) > 1) & ~first.contains("\n"), F.lit(" ")).otherwise(F.lit("\n"))
-    return merged(b, max_chars, joiner)
+    return F.when((F.size(b) > 1) & ~first.contains("\n"), F.lit(" ")).otherwise(F.lit("\n"))
+
+
+def with_chunks(df: DataFrame, text: str, max_chars: int = 3000, name: str = "_chunks") -> DataFrame:
+    """Adds the chunks of a plain text. Each step is a column of its own: an array that an expression names twice would be
+    computed twice, and inside the fold once for each block."""
+    d = df.withColumn("_b1", pieces(F.col(text), rf"\n{WS}*\n"))
+    d = d.withColumn("_b", _finer(F.col(text), F.col("_b1"), max_chars)).withColumn("_j", _joiner(F.col("_b")))
+    return d.withColumn(name, merged(F.col("_b"), max_chars, F.col("_j"))).drop("_b1", "_b", "_j")
+
+
+def exploded(df: DataFrame, array: str, pos: str, name: str) -> DataFrame:
+    """One row for each element. The outer form with a filter on the position: for the inner form the optimizer adds a test
+    of the array's size and pushes it to the scan, where the whole expression is then computed a second time."""
+    return df.select("*", F.posexplode_outer(array).alias(pos, name)).where(F.col(pos).isNotNull()).drop(array)
 
 
 def explode_parts(docs: DataFrame, text: str, wiki: bool, max_chars: int = 3000) -> DataFrame:
     """One row for each section (wiki) or chunk: adds ``chunk_idx``, ``section_heading`` and ``paragraph``."""
     if wiki:
-        parts = sections(F.col(text))
-        d = docs.select("*", F.posexplode(parts).alias("chunk_idx", "part"))
-        return d.select("*", F.col("part.heading").alias("section_heading"), F.col("part.body").alias("paragraph")).drop("part")
-    d = docs.select("*", F.posexplode(chunks(F.col(text), max_chars)).alias("chunk_idx", "paragraph"))
-    return d.withColumn("section_heading", F.lit(""))
+        d = exploded(docs.withColumn("_sections", sections(F.col(text))), "_sections", "chunk_idx", "_part")
+        return d.select("*", F.col("_part.heading").alias("section_heading"), F.col("_part.body").alias("paragraph")).drop("_part")
+    return exploded(with_chunks(docs, text, max_chars), "_chunks", "chunk_idx", "paragraph").withColumn("section_heading", F.lit(""))

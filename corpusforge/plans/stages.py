@@ -21,8 +21,8 @@ def extract(docs: DataFrame, order: str | None, wiki: bool, source_type: str | C
     d = docs.where("text is not null").select(
         seq.alias("doc_seq"), "text", "title", F.when(F.coalesce("url", F.lit("")) == "", clean.metadata_url(F.col("text"))).otherwise(F.col("url")).alias("url")
     )
-    parts = split.explode_parts(d, "text", wiki, max_chars).drop("text").withColumn("paragraph", clean.cleaned(F.col("paragraph")))
-    kept = rules.judged(parts, wiki, "paragraph", min_chars, max_chars).where("verdict = 'kept'")
+    parts = split.explode_parts(d, "text", wiki, max_chars).drop("text").withColumn("_clean", clean.cleaned(F.col("paragraph"))).drop("paragraph")
+    kept = rules.judged(parts, wiki, "_clean", min_chars, max_chars).where("verdict = 'kept'")
     kind = F.lit(source_type) if isinstance(source_type, str) else source_type
     out = kept.select("doc_seq", "chunk_idx", "paragraph", "title", "url", "section_heading", kind.alias("source_type"))
     return ordering.sampled(out, n_samples, seed, "doc_seq", "chunk_idx")

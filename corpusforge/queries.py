@@ -53,13 +53,13 @@ def split_sections(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def split_sentences(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.posexplode(split.sentences(F.col("text"))).alias("pos", "sentence"))
+    return split.exploded(table(spark, d, "documents").select("doc_id", split.sentences(F.col("text")).alias("a")), "a", "pos", "sentence")
 
 
 @query
 def merge_blocks(spark: SparkSession, d: str) -> DataFrame:
     m = split.merged(split_lines(F.col("text")), 500, F.lit("\n"))
-    return table(spark, d, "documents").select("doc_id", F.posexplode(m).alias("pos", "block"))
+    return split.exploded(table(spark, d, "documents").select("doc_id", m.alias("a")), "a", "pos", "block")
 
 
 @query

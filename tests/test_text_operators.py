@@ -38,7 +38,7 @@ def test_sections(sample):
 @pytest.mark.parametrize("limit", [60, 3000])
 def test_chunks(sample, limit):
     t, df = sample
-    got = {r.i: r.s for r in df.select("i", split.chunks(F.col("paragraph"), limit).alias("s")).collect()}
+    got = {r.i: r.s for r in split.with_chunks(df, "paragraph", limit, "s").select("i", "s").collect()}
     for i, x in enumerate(t):
         assert got[i] == plain.chunks(x, limit), repr(x)
 
