@@ -1,9 +1,10 @@
 """Problem 1: text quality statistics of each paragraph, and the verdict prose, list, table or junk.
 
 Method: one Arrow pass gives each paragraph its statistics, which are kept as a narrow table; mergeable KLL sketches of
-each statistic are built per language and merged into one for the whole corpus; each value becomes a percentile and a
-robust z-score (median and quartile range from the sketch), the tails are flagged, and the verdict is read from the
-flags. Only sketches (one row for each of five languages, a fixed number) are broadcast.
+each statistic are built per language, from the texts that are mainly sentences (so that no amount of lists, tables or
+junk widens a scale), and merged into one for the whole corpus; each value becomes a robust z-score (median and quartile
+range from the sketch), the tails are flagged, and the verdict is read from the share of sentences and the flags. Only
+sketches (one row for each of five languages, a fixed number) are broadcast.
 
 Null and blank paragraphs have zero words, all shares 0, language ``und`` and the kind ``empty``.
 """
@@ -14,7 +15,6 @@ import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import CLOSED, WORD, LANGS, language_scores, map_rows, materialise
@@ -25,6 +25,13 @@ STATS = {
     "sentence_share": 0.06, "distinct_share": 0.05, "cell_line_share": 0.05, "entry_line_share": 0.05, "longest_word": 3.0,
 }
 TAIL = 3.0
+#: A text is mainly sentences from this share of its characters on.
+MAINLY = 0.5
+#: Quartiles of the prose of sf0.1, for a corpus that holds no prose at all.
+ORDINARY = {
+    "mean_word_len": (5.69, 5.91, 6.12), "symbol_ratio": (0.0, 0.0, 0.0), "digit_ratio": (0.0, 0.006, 0.01), "end_line_share": (0.8, 1.0, 1.0), "common_share": (0.358, 0.375, 0.391),
+    "sentence_share": (1.0, 1.0, 1.0), "distinct_share": (0.713, 0.762, 0.809), "cell_line_share": (0.0, 0.0, 0.0), "entry_line_share": (0.0, 0.0, 0.0), "longest_word": (15.0, 16.0, 17.0),
+}
 
 _TAG_CELL = re.compile(r"</t[dh]>\s*<t[dh][^>]*>|\s*\|\|\s*", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>|<!--.*?-->", re.S)
@@ -153,8 +160,8 @@ def paragraph_stats(paragraphs: DataFrame, key: str = "paragraph_id", text: str
 
 
 def sketches(stats: DataFrame) -> DataFrame:
-    """KLL sketches of each statistic by language, plus the row ``*`` merged from them."""
-    by = stats.where("words > 0").groupBy("lang").agg(*[F.kll_sketch_agg_double(F.col(s).cast("double")).alias(s) for s in STATS], F.count("*").alias("n"))
+    """KLL sketches of each statistic of prose by language, plus the row ``*`` merged from them."""
+    by = stats.where((F.col("words") > 0) & (F.col("sentence_share") >= MAINLY)).groupBy("lang").agg(*[F.kll_sketch_agg_double(F.col(s).cast("double")).alias(s) for s in STATS], F.count("*").alias("n"))
     whole = by.agg(*[F.kll_merge_agg_double(s).alias(s) for s in STATS], F.sum("n").alias("n")).select(F.lit("*").alias("lang"), *STATS, "n")
     return by.select("lang", *STATS, "n").unionByName(whole)
 
@@ -162,12 +169,14 @@ def sketches(stats: DataFrame) -> DataFrame:
 def references(stats: DataFrame, least: int = 200) -> DataFrame:
     """Quartiles by language from the sketches. Languages with fewer than ``least`` texts and ``und`` take the merged
     sketch, whose quartiles are those of the corpus."""
-    s = sketches(stats)
-    q = s.select("lang", "n", *[F.kll_sketch_get_quantile_double(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in STATS])
-    everything = W.partitionBy(F.lit(0))  # six rows: the languages and the row of the whole corpus
-    own = q.select("*", *[F.max(F.when(F.col("lang") == "*", F.col(c))).over(everything).alias(f"w_{c}") for c in STATS]).where("lang <> '*'")
-    use = (F.col("lang") != "und") & (F.col("n") >= least)
-    return own.select("lang", *[F.when(use, F.col(c)).otherwise(F.col(f"w_{c}")).alias(f"q_{c}") for c in STATS])
+    quartiles = lambda c: F.kll_sketch_get_quantile_double(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = sketches(stats).select("lang", "n", *[F.when(F.col("n") > 0, quartiles(c)).alias(c) for c in STATS])
+    one = q.agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", F.struct("n", *STATS)))).alias("own"),  # six entries: the languages and the whole corpus
+    ).select(F.explode(F.array(*map(F.lit, (*LANGS, "und")))).alias("lang"), "own")
+    own, whole = F.col("own")[F.col("lang")], F.col("own")["*"]
+    use = (F.col("lang") != "und") & (own["n"] >= least)
+    return one.select("lang", *[F.when(use, own[c]).otherwise(F.coalesce(whole[c], F.array(*map(F.lit, ORDINARY[c])))).alias(f"q_{c}") for c in STATS])
 
 
 def z_scores(stats: DataFrame, refs: DataFrame) -> DataFrame:
@@ -184,7 +193,7 @@ def verdict(z: DataFrame) -> DataFrame:
     """Adds ``flags`` (tails of the distributions) and ``kind``."""
     flags = [F.when(F.col(f"z_{c}") < -TAIL, F.lit(f"low_{c}")).when(F.col(f"z_{c}") > TAIL, F.lit(f"high_{c}")) for c in STATS]
     c = F.col
-    not_prose = (c("z_sentence_share") < -TAIL) & (c("sentence_share") < 0.5)
+    not_prose = c("sentence_share") < MAINLY  # by its meaning: a z-score depends on what else is in the corpus
     junk = (
         c("is_json") | (c("log_share") > 0.4) | (c("crumbs") >= 3)
         | (c("z_symbol_ratio") > 2 * TAIL) & (c("cell_line_share") < 0.4)

@@ -31,6 +31,19 @@ def test_quality_verdicts_and_edge_cases(spark):
     assert quality.quality(paragraphs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("prose", [0, 6, 12, 30])
+def test_verdict_does_not_depend_on_the_share_of_prose(spark, prose):
+    noise = "x#%&= 9!!?? k@@% ~~^^ q+=+= %%§§ z##!! ??%% w&&== ^^~~ 7%%%"
+    log = "\n".join(f"2024-01-02 10:00:{i:02d} INFO worker started" for i in range(8))
+    other = {"table": TABLE_ROWS, "list": LIST_ROWS, "junk": JUNK, "junk2": '{"navn": "by", "id": 4, "x": [1, 2]}', "junk3": log, "junk4": noise}
+    rows = [(i, PROSE.replace("Byen", f"By {i}"), "n", "", "") for i in range(prose)]
+    rows += [(100 * k + i, t, "n", "", "") for k, t in enumerate(other.values(), 1) for i in range(4)]
+    got = {r.paragraph_id: r.kind for r in quality.quality(paragraphs(spark, rows)).collect()}
+    assert {got[i] for i in range(prose)} <= {"prose"}
+    for k, kind in enumerate(other, 1):
+        assert {got[100 * k + i] for i in range(4)} == {kind.rstrip("234")}, kind
+
+
 def test_sketches_are_near_exact_quantiles_and_merge(spark):
     r = np.random.default_rng(1)
     v = r.gamma(2.0, 3.0, 20000)
