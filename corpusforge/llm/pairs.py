@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import LANGS, WORD, flat_map_rows, language_scores, sentences
 from .endings import ending_evidence
+from .markup import _TAGS
 
 #: Stand-ins for a missing value, after signs around them are taken off.
 STAND_INS = frozenset(
@@ -169,53 +170,96 @@ def is_copy(instruction: str, answer: str, share: float = 0.85) -> bool:
     return False
 
 
-_OPEN = {"(": ")", "[": "]", "{": "}", "»": "«", "“": "”", "„": "“"}
+_OPEN = {"(": ")", "[": "]", "{": "}", "»": "«", "«": "»", "“": "”", "„": "“", '"': '"'}
 _CLOSE = frozenset(_OPEN.values())
+#: A quotation may be closed by another sign than its own: »a», “a“.
+_ALSO = {"»": "«", "“": "”"}
+_QUOTES = frozenset("«»“”\"")
+#: Elements that are empty or whose end tag may be left out.
+_NO_END = frozenset("area base br col embed hr img input link meta source track wbr p li dt dd td th tr thead tbody tfoot colgroup option body html head".split())
+_ELEMENTS = frozenset(_TAGS) - _NO_END
+_SCAN = re.compile(
+    r"^[ \t]*(?P<fence>`{3,}|~{3,})[^\n]*|`[^`\n]+`|(?P<comment><!--(?:.*?-->)?)|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*?)?(?P<empty>/?)>|\\(?P<env>begin|end)\{(?P<of>\w+)\*?\}"
+    r"|[\[\](]\s*[-−]?(?:[\d.]+|∞|\w)\s*[;,]\s*[-−]?(?:[\d.]+|∞|\w)\s*[\[\])]|[:;=]-?[(\[](?=\s|$)|(?<!\S)\"(?=\w)|(?<=\()\"(?=\w)|(?P<straight>\")|[()\[\]{}»«“”„]|(?P<blank>\n[ \t]*\n)",
+    re.M | re.S,
+)
+_ENTRY = re.compile(r"[ \t]*(?:(?P<sign>[-–*•·+])|\(?(?P<no>\d{1,3}|[a-z])(?P<by>[.)])|\\item\b)(?P<rest>[^\n]*)$", re.I)
+_BARE_ENTRY = re.compile(r"(?:^|\s)\(?(\d{1,3}|[a-z])\)$")
+
+
+def _before(no: str) -> str:
+    return str(int(no) - 1) if no.isdigit() else chr(ord(no) - 1)
+
+
+def list_left_open(text: str) -> bool:
+    """The last entry of a list has its mark but no text, or only announces what it is to hold."""
+    lines = [l for l in text.rstrip().split("\n") if l.strip()]
+    entries = [m for l in lines[-40:] if (m := _ENTRY.match(l)) and (m["sign"] is None or m["rest"][:1] in ("", " ", "\t"))]
+    last = _ENTRY.match(lines[-1]) if lines else None
+    if last and len(entries) >= 2:
+        kin = [m for m in entries[:-1] if (m["sign"], m["by"]) == (last["sign"], last["by"])]
+        if kin and (not last["no"] or any(m["no"] and m["no"].lower() == _before(last["no"].lower()) for m in kin)):
+            if not last["rest"].strip() or last["rest"].rstrip().endswith(":"):
+                return True
+    m = _BARE_ENTRY.search(lines[-1]) if lines else None  # entries inside a sentence: a) one, b)
+    return bool(m) and bool(re.search(rf"(?:^|\s)\(?{_before(m[1])}\)\s+\w", lines[-1][:m.start()]))
 
 
 def left_open(text: str) -> list[str]:
-    """Pushdown parser: what stands open at the end of the text (brackets, quotations, code fences, tags, environments)."""
+    """Pushdown parser: what stands open at the end of the text (brackets, quotations, code fences, comments, tags,
+    environments, lists)."""
     stack: list[str] = []
-    fence = False
-    for m in re.finditer(r"```|<(/?)([a-zA-Z][\w-]*)[^<>]*?(/?)>|\\(begin|end)\{(\w+)\*?\}|[()\[\]{}»«“”„]|\n[ \t]*\n", text):
+    fence = ""
+    for m in _SCAN.finditer(text):
         g = m.group()
-        if g == "```":
-            fence = not fence
+        if m["fence"]:
+            if not fence:
+                fence = m["fence"]
+            elif m["fence"].startswith(fence) and g.strip() == m["fence"]:
+                fence = ""
         elif fence:
             continue
-        elif m.group(2):
-            name = m.group(2).lower()
-            if m.group(3) or name in ("br", "img", "hr", "p", "li", "td", "tr", "input", "meta", "link"):
+        elif m["comment"]:
+            if g == "<!--":
+                stack.append("-->")
+                break
+        elif m["name"]:
+            name = m["name"].lower()
+            if m["empty"] or name not in _ELEMENTS:
                 continue
-            if m.group(1):
-                if f"<{name}>" in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(f"<{name}>"):]
-            else:
+            if not m["end"]:
                 stack.append(f"<{name}>")
-        elif m.group(4):
-            if m.group(4) == "begin":
-                stack.append(f"\\{m.group(5)}")
-            elif f"\\{m.group(5)}" in stack:
-                del stack[len(stack) - 1 - stack[::-1].index(f"\\{m.group(5)}"):]
-        elif g[0] == "\n":
+            elif f"<{name}>" in stack:
+                del stack[len(stack) - 1 - stack[::-1].index(f"<{name}>"):]
+        elif m["env"]:
+            if m["env"] == "begin":
+                stack.append(f"\\{m['of']}")
+            elif f"\\{m['of']}" in stack:
+                del stack[len(stack) - 1 - stack[::-1].index(f"\\{m['of']}"):]
+        elif m["blank"]:
             stack = [x for x in stack if x not in _CLOSE]  # a quotation or bracket does not pass a blank line
-        elif g in _CLOSE and stack and stack[-1] == g:
+        elif len(g) > 1:
+            continue  # code, an interval, a smiley
+        elif stack and (g == stack[-1] or _ALSO.get(g) == stack[-1]):
             stack.pop()
-        elif g in _OPEN:
+        elif g in _CLOSE and g in stack and not m["straight"]:
+            del stack[len(stack) - 1 - stack[::-1].index(g):]
+        elif g in _OPEN and not m["straight"]:
             stack.append(_OPEN[g])
-    return stack + (["```"] if fence else [])
+    return stack + ([fence] if fence else []) + (["list"] if not fence and list_left_open(text) else [])
 
 
 TRUNCATED_FROM = 2.5
 
 
 def is_truncated(answer: str, original: str | None) -> bool:
-    """Evidence of the ending, with more weight if the parser ends in an open construct opened in the last sentence."""
+    """Evidence of the ending, or an open construct: a full stop inside a fence, comment, element, environment, bracket or
+    list ends nothing. An open quotation counts unless a full stop or an omission ends the text (the author may leave it)."""
     e = ending_evidence(answer, original)
-    if -3.0 < e < TRUNCATED_FROM + 1:
-        tail = answer[-300:]
-        e += 1.0 if left_open(answer) and any(o in tail for o in "([{»“„`<\\") else 0.0
-    return e >= TRUNCATED_FROM
+    if e >= TRUNCATED_FROM:
+        return True
+    opened = left_open(answer)
+    return any(x not in _QUOTES for x in opened) or bool(opened) and e > -6.0
 
 
 def defects(pair_id: int, instruction: str | None, answer: str | None, original: str | None) -> list[tuple]:

@@ -127,6 +127,19 @@ def test_parser_of_open_constructs():
     assert pairs.left_open("```\nx = (1\n") == ["```"] and pairs.left_open("(a) »b« <b>c</b> \\begin{x}d\\end{x}") == []
 
 
+@pytest.mark.parametrize(
+    ("text", "cut"),
+    [
+        ("Sådan gør du:\n```\nx = 1.\n", True), ("Sådan gør du:\n```\nx = 1\n```\nDet er alt.", False), ("~~~\nx = (1.\n~~~\nDet er alt.", False), ("Byen er stor <b>og rig. Den er gammel.", True), ("<p>Byen er stor.<br>Den er gammel.", False),
+        ("Byen (som er stor. " + "Den er rig. " * 40, True), ("Byen (som er stor) er rig.", False), ("Skriv til <navn@sted.dk> i dag.", False), ("Vi ser \\begin{itemize} \\item a.", True), ("\\begin{x}a (b\\end{x} er alt.", False),
+        ("Han sagde: »Byen er stor:", True), ("Han sagde: »Byen er stor.", False), ("Tallet ligger i [0, 1) og i ]2; 3[.", False), ("Han var sur :( og gik hjem.", False), ("a) smør og b) brød.", False), ("Skriv `(` her.", False), ("«Byen» er »stor» og „rig“ og “ny”.", False),
+        ("Køb disse:\n1. Smør.\n2. Brød.\n3.", True), ("Køb disse:\n1. Smør.\n2. Brød.", False), ("Køb:\n- smør\n- brød\n-", True), ("Køb:\n- smør\n- brød fra:", True), ("Vi har a) smør, b) brød, c)", True), ("Det skete i\n1. januar 2.", False), ("Note <!-- er skjult.", True),
+    ],
+)
+def test_open_constructs_decide_truncation(text, cut):
+    assert pairs.is_truncated(text, None) == cut
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), min_size=1, max_size=14))
 def test_tiles_are_common_runs(a, b):
