@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import CLOSED, WORD, LANGS, language_scores, map_rows, materialise
@@ -167,16 +167,21 @@ def sketches(stats: DataFrame) -> DataFrame:
 
 
 def references(stats: DataFrame, least: int = 200) -> DataFrame:
-    """Quartiles by language from the sketches. Languages with fewer than ``least`` texts and ``und`` take the merged
-    sketch, whose quartiles are those of the corpus."""
+    """Quartiles by language from the sketches, drawn towards those of the merged sketch, which counts as ``least`` texts:
+    the weight of a language's own quartiles grows smoothly with its texts. ``und`` is no language and takes the merged."""
     quartiles = lambda c: F.kll_sketch_get_quantile_double(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     q = sketches(stats).select("lang", "n", *[F.when(F.col("n") > 0, quartiles(c)).alias(c) for c in STATS])
     one = q.agg(
         F.map_from_entries(F.collect_list(F.struct("lang", F.struct("n", *STATS)))).alias("own"),  # six entries: the languages and the whole corpus
     ).select(F.explode(F.array(*map(F.lit, (*LANGS, "und")))).alias("lang"), "own")
     own, whole = F.col("own")[F.col("lang")], F.col("own")["*"]
-    use = (F.col("lang") != "und") & (own["n"] >= least)
-    return one.select("lang", *[F.when(use, own[c]).otherwise(F.coalesce(whole[c], F.array(*map(F.lit, ORDINARY[c])))).alias(f"q_{c}") for c in STATS])
+    weight = F.when(F.col("lang") == "und", 0.0).otherwise(F.coalesce(own["n"] / (own["n"] + least), F.lit(0.0)))
+
+    def drawn(c: str) -> Column:
+        base = F.coalesce(whole[c], F.array(*map(F.lit, ORDINARY[c])))
+        return F.zip_with(F.coalesce(own[c], base), base, lambda o, w: weight * o + (1 - weight) * w)
+
+    return one.select("lang", *[drawn(c).alias(f"q_{c}") for c in STATS])
 
 
 def z_scores(stats: DataFrame, refs: DataFrame) -> DataFrame:

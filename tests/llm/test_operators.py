@@ -44,6 +44,16 @@ def test_verdict_does_not_depend_on_the_share_of_prose(spark, prose):
         assert {got[100 * k + i] for i in range(4)} == {kind.rstrip("234")}, kind
 
 
+def test_references_have_no_jump_at_a_row_count(spark):
+    def median(n):
+        rows = [("da", 5, 6.0)] * 2000 + [("de", 5, 9.0)] * n
+        df = spark.createDataFrame(rows, "lang string, words int, x double").select("lang", "words", *[F.col("x").alias(s) for s in quality.STATS])
+        return {r.lang: r for r in quality.references(df).collect()}["de"].q_mean_word_len[1]
+
+    m = [median(n) for n in (20, 199, 200, 1900)]
+    assert 6.0 < m[0] < m[1] < m[2] < m[3] < 9.0 and m[2] - m[1] < 0.02 and m[3] > 8.7
+
+
 def test_sketches_are_near_exact_quantiles_and_merge(spark):
     r = np.random.default_rng(1)
     v = r.gamma(2.0, 3.0, 20000)
