@@ -11,11 +11,14 @@ each other (in this order) and the rest; ``truncated`` and ``language`` may both
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LANGS, WORD, flat_map_rows, language_scores, sentences
+from .common import _MASK, CLOSED, LANGS, WORD, flat_map_rows, language_scores, sentences
 from .endings import ending_evidence
 from .markup import _TAGS
 
@@ -104,23 +107,107 @@ def top_language(s: list[float], least: float) -> str | None:
     return LANGS[k] if s[k] >= least and s[k] > sum(sorted(s)[-2:-1]) else None
 
 
+#: Function words of further languages, so that their sentences are not taken for one of LANGS.
+_FOREIGN = {
+    "fr": "le la les des est une dans pour que qui sur pas avec au aux ce cette il elle sont ont été plus par ne se sa son ses nous vous mais ou où leur de du et en un",
+    "es": "el la los las es una en por para que con del al se su sus no como más pero fue son muy también desde hay este esta lo y o de un",
+    "it": "il la lo gli le è una per che con del della dei delle di non si nel nella sono come più ma anche al alla da dal questo questa e un in",
+    "pt": "o a os as é uma em por para que com do da dos das no na não se seu sua como mais mas foi são ao à também este esta e de um",
+    "nl": "de het een van en is in dat op te zijn met voor niet aan er ook als bij maar om uit door naar heeft werd wordt deze dit hij zij ze of",
+    "no": "av etter noe noen hva nå ble mye mellom uten seg deg meg dere og i at det er en den til på for ikke som et jeg om vi du fra så men hun kan vil ved",
+    "pl": "w i na z do się nie jest że to jak po od za przez dla są był była było który która które ale oraz czy może tym tego tej jego jej ich lub",
+    "fi": "ja on ei se että oli hän mutta ovat kun niin myös joka tai jos sen ole kuin mukaan jo vain siitä mitä hänen tämä tässä sekä",
+}
+_FOREIGN = {l: frozenset(w.split()) for l, w in _FOREIGN.items()}
+_ONLY_FOREIGN = {l: w - _MASK.keys() for l, w in _FOREIGN.items()}
+_ANY_FOREIGN = frozenset().union(*_ONLY_FOREIGN.values())
+#: Names of further languages an instruction may ask for, with their script.
+ASKED_OTHER = re.compile(
+    r"\b(?:på|til|in|auf|into|ins?)\s+(?:det |the )?(?:(?P<no>norsk|norwegian|norwegisch)|(?P<cyrillic>russisk|ryska|russian|russisch|ukrainsk|ukrainska|ukrainian|bulgarsk|bulgarian)|(?P<greek>græsk|grekiska|greek|griechisch)"
+    r"|(?P<arabic>arabisk|arabiska|arabic|arabisch|persisk|persian|urdu)|(?P<cjk>kinesisk|kinesiska|chinese|chinesisch|japansk|japanska|japanese|japanisch)|(?P<hangul>koreansk|koreanska|korean|koreanisch)"
+    r"|(?P<latin>fransk|franska|french|französisch|spansk|spanska|spanish|spanisch|italiensk|italienska|italian|italienisch|portugisisk|portuguese|hollandsk|nederlandsk|dutch|polsk|polska|polish|polnisch|finsk|finska|finnish|finnisch"
+    r"|islandsk|isländska|icelandic|færøsk|grønlandsk|tyrkisk|turkiska|turkish|türkisch|latin|ungarsk|hungarian|tjekkisk|czech|rumænsk|romanian))\b",
+    re.I,
+)
+_OTHER_LETTER = re.compile(r"[^\W\d_A-Za-zªºÀ-ɏḀ-ỿ]")
+_EAST = frozenset(("hiragana", "katakana", "halfwidth", "bopomofo", "ideographic"))
+
+
+@lru_cache(4096)
+def _script_of(c: str) -> str:
+    name = unicodedata.name(c, "unknown").split()[0].lower()
+    return "cjk" if name in _EAST else name
+
+
+def main_script(text: str) -> str:
+    """Script of most letters: ``latin``, or the first word of the Unicode names of the letters (Chinese and Japanese are ``cjk``)."""
+    other = _OTHER_LETTER.findall(text)
+    if not other:
+        return "latin"
+    by = Counter(map(_script_of, other))
+    by["latin"] += sum(map(str.isalpha, text)) - len(other)
+    return by.most_common(1)[0][0]
+
+
+def sentence_language(x: str, want: str) -> str | None:
+    """Language of one sentence: one of LANGS, a further one or another script by name, ``other`` if it has no function
+    word of ``want`` though it is long enough to need one, None if it tells nothing (names, entries)."""
+    if _OTHER_LETTER.search(x) and (script := main_script(x)) != "latin":
+        return script
+    words = WORD.findall(x)
+    low = [w.lower() for w in words]
+    wanted = sum(_MASK.get(w, 0) >> LANGS.index(want) & 1 for w in low) if want in LANGS else 0
+    if not _ANY_FOREIGN.isdisjoint(low):
+        hits, lang = max((sum(w in f for w in low), l) for l, f in _FOREIGN.items() if sum(w in _ONLY_FOREIGN[l] for w in low) >= 2 or l == want) if any(
+            sum(w in o for w in low) >= 2 for o in _ONLY_FOREIGN.values()
+        ) else (0, "")
+        if hits > max(language_scores(low)[0] if want not in LANGS else wanted, *([sum(_MASK.get(w, 0) >> i & 1 for w in low) for i in range(4)])):
+            return lang
+    k = top_language(language_profile(x), 1.0)
+    if k:
+        content = [w for w in words if w.lower() not in _MASK]
+        if k != want and content and len(words) - len(content) < 3 and all(w[0].isupper() for w in content):
+            return None  # a name or title
+        return k
+    if not wanted and len(words) >= 6 and CLOSED.search(x) and x.count(",") * 3 < len(words) and sum(w[0].islower() for w in words) * 2 > len(words):
+        return "other"
+    return None
+
+
 def wrong_language(instruction: str, answer: str) -> bool:
-    """Most of the answer (by characters of its sentences) is in another language than wanted."""
+    """Most of the answer (by characters of its sentences) is in another language or script than wanted."""
+    asked = LABEL.sub("", instruction)
     m = ASKED.search(instruction)
-    want = _ASKED_LANG[[bool(g) for g in m.groups()].index(True)] if m else top_language(language_profile(LABEL.sub("", instruction), True), 0.5)
+    if m:
+        want = _ASKED_LANG[[bool(g) for g in m.groups()].index(True)]
+    elif m := ASKED_OTHER.search(instruction):
+        want = m.lastgroup
+    else:
+        want = main_script(asked)
+        if want == "latin":
+            want = top_language(language_profile(asked, True), 0.5)
     if not want:
         return False
-    whole = language_scores(WORD.findall(answer.lower()), exclusive=True)[1]
-    if whole[k := LANGS.index(want)] >= 3 and sum(whole) - whole[k] < 0.25 * whole[k]:
-        return False  # too few words proper to any other language for it to hold half of the text
-    by = dict.fromkeys(LANGS, 0)
-    known = 0
+    low = WORD.findall(answer.lower())
+    if want in LANGS and not _OTHER_LETTER.search(answer):
+        k = LANGS.index(want)
+        whole = language_scores(low, exclusive=True)[1]
+        of_want = sum(_MASK.get(w, 0) >> k & 1 for w in low)
+        if whole[k] >= 3 and sum(whole) - whole[k] + sum(w in _ANY_FOREIGN for w in low) < 0.25 * whole[k] and of_want * 4 >= len(low):
+            return False  # too few words proper to any other language for it to hold half of the text
+    by: Counter = Counter()
     for x in sentences(answer):
-        k = top_language(language_profile(x), 1.0)
+        k = sentence_language(x, want)
         if k:
             by[k] += len(x)
-            known += len(x)
-    return known >= 40 and known - by[want] > 0.5 * known
+    known = by.total()
+    if want == "latin":  # asked for a language without a profile: only LANGS and other scripts are surely wrong
+        right = known - sum(by[l] for l in LANGS) - sum(n for l, n in by.items() if l not in LANGS and l not in _FOREIGN and l != "other")
+    elif want == "no":
+        right = by["no"] + by["da"]
+    else:
+        right = by[want]
+    return known - right > 0.5 * known
 
 
 LABEL = re.compile(r"^\s*(?:format\s+[a-c]\s*[-:—–]\s*|(?:[^\W\d_][\w.]{0,14}\s?){1,3}:\s*)", re.I)

@@ -127,6 +127,19 @@ def test_parser_of_open_constructs():
     assert pairs.left_open("```\nx = (1\n") == ["```"] and pairs.left_open("(a) »b« <b>c</b> \\begin{x}d\\end{x}") == []
 
 
+@pytest.mark.parametrize(
+    ("q", "a", "wrong"),
+    [
+        ("Fortæl om byen.", "Город стоит у моря, и летом там много кораблей.", True), ("Fortæl om byen.", "Η πόλη έχει λιμάνι και πολλά πλοία.", True), ("Fortæl om byen.", "这座城市有一个港口。", True), ("Fortæl om byen.", "المدينة لها ميناء كبير.", True),
+        ("Fortæl om byen.", "La ville est située au bord de la mer et compte beaucoup de bateaux.", True), ("Fortæl om byen.", "Miasto jest duże i leży nad morzem, a latem są tam statki.", True), ("Fortæl om byen.", "A város kikötője nagyon régi és nyáron tele van hajókkal.", True),
+        ("Fortæl om byen.", "The town is old.", True), ("Hvad hedder bogen?", "Lord of the Rings.", False), ("Fortæl om byen på fransk.", "La ville est située au bord de la mer et compte beaucoup de bateaux.", False), ("Fortæl om byen på russisk.", "Город стоит у моря.", False),
+        ("Fortæl om byen på russisk.", PROSE, True), ("Расскажи о городе.", "Город стоит у моря.", False), ("Расскажи о городе.", PROSE, True), ("Fortæl om byen.", PROSE + " På græsk: Η πόλη.", False), ("Hvem kom?", "Niels Bohr, Marie Curie og Albert Einstein.", False), ("Hvad købte du?", "- smør\n- brød\n- ost", False),
+    ],
+)
+def test_language_by_script_and_words(q, a, wrong):
+    assert pairs.wrong_language(q, a) == wrong
+
+
 @pytest.mark.parametrize(
     ("text", "cut"),
     [
