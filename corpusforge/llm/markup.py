@@ -289,34 +289,84 @@ _LOGLINE = re.compile(r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d", re.M)
 _NOISE = re.compile(r"(?<=[^\W\d_])[^\w\s'’\-/](?=[^\W\d_])|[^\w\s]{3,}|[%^§=+?]")
 
 
-def is_noise(text: str, nodes: list[Node]) -> bool:
-    """Machine output and unreadable signs, whose signs are no markup: JSON, logs, encoded blocks, symbol noise."""
-    t = text.lstrip()
-    lines = [l for l in text.split("\n") if l.strip()]
-    if any(l.startswith(('{"', '[{"', "['")) and l.count('":') >= 2 for l in lines):
-        return True
-    if len(_LOGLINE.findall(text)) * 2 > len(lines):
-        return True
-    out, at = [], 0
-    for n in nodes:  # the signs of sure constructs are no noise, their words count
-        if n.weight >= 7 and n.start >= at:
-            out += [text[at:n.start], re.sub(r"<[^<>]*>|[^\w\s]+", " ", text[n.start:n.end])]
+_JSONLINE = ('{"', '[{"', "['")
+_ADDRESS = re.compile(r"\S+://\S+")
+#: Constructs whose content is code or no text: what stands in them says nothing about the text around.
+_HOLDERS = frozenset(("fence", "pre", "verbatim", "drop", "comment", "math"))
+_BLANK_LINE = re.compile(r"\n[ \t]*(?=\n)")
+
+
+def _outside(text: str, nodes: list[Node], start: int, end: int) -> str:
+    """The text from start to end without holders and addresses, and without the signs of other sure constructs."""
+    out, at = [], start
+    for n in nodes:
+        if n.end <= at or n.start >= end:
+            continue
+        if n.kind in _HOLDERS:
+            out += [text[at:max(at, n.start)], " "]
+            at = n.end
+        elif (n.weight >= 7 or n.kind == "autolink") and n.start >= at:  # their signs are no noise, their words count
+            out += [text[at:n.start], re.sub(r"<[^<>]*>|[^\w\s]+", " ", _ADDRESS.sub(" ", text[n.start:n.end]) if n.kind != "autolink" else "")]
             at = n.end
-    rest = "".join(out) + text[at:]
+    rest = "".join(out) + text[at:end]
+    return _ADDRESS.sub(" ", rest) if "://" in rest else rest
+
+
+def _noisy(rest: str) -> tuple[bool, bool]:
+    """Whether what stands outside the constructs is encoded or unreadable; whether it is text by its function words."""
     words = rest.split()
-    if len(rest) > 25 * max(1, len(words)):
-        return True
     common, _ = language_scores([w.lower() for w in WORD.findall(rest)])
-    return len(rest) >= 60 and common * 12 < len(words) and len(_NOISE.findall(rest)) * 9 > len(rest)
+    is_text = common >= 3 and common * 12 >= len(words)
+    if len(rest) > 25 * max(1, len(words)) and rest.strip():
+        return True, is_text
+    return len(rest) >= 60 and common * 12 < len(words) and len(_NOISE.findall(rest)) * 9 > len(rest), is_text
+
+
+def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
+    """Places of machine output and unreadable signs, whose signs are no markup: lines of JSON, blocks of logs, encoded
+    blocks, symbol noise. Blocks end at blank lines; what stands in code, formulas and comments is not judged."""
+    held = [(n.start, n.end) for n in nodes if n.kind in _HOLDERS]
+    spans = []
+    cuts = [0, *(m.end() for m in _BLANK_LINE.finditer(text)), len(text)]
+    whole, _ = _noisy(_outside(text, nodes, 0, len(text)))
+    for s, e in zip(cuts, cuts[1:]):
+        logs = lines = 0
+        at = s
+        for l in text[s:e].split("\n"):
+            here, at = at, at + len(l) + 1
+            if not l.strip() or any(a <= here and here + len(l) <= b for a, b in held):
+                continue
+            lines += 1
+            logs += bool(_LOGLINE.match(l))
+            if l.lstrip().startswith(_JSONLINE) and l.count('":') >= 2:
+                spans.append((here, here + len(l)))
+        if logs * 2 > lines:
+            spans.append((s, e))
+        elif len(cuts) == 2:
+            if whole:
+                spans.append((s, e))
+        else:
+            rest = _outside(text, nodes, s, e)
+            noisy, is_text = _noisy(rest)
+            if noisy or whole and not is_text and rest.strip():
+                spans.append((s, e))
+    return spans
 
 
-def found(text: str) -> list[str]:
-    """Languages of which residue is in the text."""
+def residue(text: str) -> list[Node]:
+    """Constructs outside noise that the cut calls residue."""
     nodes = constructs(text)
-    if not nodes or is_noise(text, nodes):
+    if not nodes:
         return []
-    lab = label(text, nodes)
-    return sorted({n.lang for n, m in zip(nodes, lab) if m})
+    spans = noise_spans(text, nodes)
+    if spans:
+        nodes = [n for n in nodes if not any(s <= n.start and n.end <= e for s, e in spans)]
+    return [n for n, m in zip(nodes, label(text, nodes)) if m]
+
+
+def found(text: str) -> list[str]:
+    """Languages of which residue is in the text."""
+    return sorted({n.lang for n in residue(text)})
 
 
 # ------------------------------------------------------------------ clean text
@@ -442,11 +492,7 @@ def clean_text(text: str) -> str:
     """The text with its residue rewritten. Repeated until no residue is left (an escaped tag becomes one), five times at
     most."""
     for _ in range(5):
-        nodes = constructs(text)
-        if not nodes or is_noise(text, nodes):
-            break
-        lab = label(text, nodes)
-        todo = [n for n, m in zip(nodes, lab) if m]
+        todo = residue(text)
         if not todo:
             break
         out, at = [], 0

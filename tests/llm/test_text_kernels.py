@@ -66,6 +66,23 @@ def test_clean_text(text, clean):
     assert markup.found(got) == []
 
 
+JSON = '{"a_b": 1, "c": "*x*", "d": 2}'
+
+
+@pytest.mark.parametrize(
+    ("text", "languages", "clean"),
+    [
+        (f"## Kald\n\nSend **dette**:\n\n```\n{JSON}\n```", ["markdown"], f"Kald\n\nSend dette:\n\n    {JSON}"), (f"<p>Send <b>dette</b>:</p>\n<pre>\n{JSON}\n</pre>", ["html"], f"Send dette:\n\n    {JSON}"),
+        (f"\\section{{Kald}}\n\\begin{{lstlisting}}\n{JSON}\n\\end{{lstlisting}}", ["latex"], f"Kald\n\n    {JSON}"), (f"Send **dette** til os:\n{JSON}\nog vent.", ["markdown"], f"Send dette til os:\n{JSON}\nog vent."), (JSON, [], JSON),
+        ("Se <https://www.eksempel.dk/en/meget/lang/sti/til/en/side/med/tekst>", ["markdown"], "Se https://www.eksempel.dk/en/meget/lang/sti/til/en/side/med/tekst"), ("Se **her** " + "Q" * 90, [], "Se **her** " + "Q" * 90),
+        ("En <b>fed</b> by, der er stor og rig.\n\n" + "Q" * 300, ["html"], "En fed by, der er stor og rig.\n\n" + "Q" * 300),
+    ],
+)
+def test_noise_vetoes_only_its_own_place(text, languages, clean):
+    assert markup.found(text) == languages
+    assert markup.clean_text(text) == clean
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/abp &;#*_`[]{}|\\$='~\n-x1 ", max_size=120))
 def test_markup_never_fails(text):
