@@ -23,7 +23,7 @@ from .common import WORD, flat_map_rows, language_scores, map_rows
 
 LANGUAGES = ("html", "markdown", "wiki", "latex")
 #: A text with none of these signs holds no construct. Java syntax.
-SIGNS = r"[<&\\\[{*_`~|$]|''|(?m:^[ \t]*(?:#|=|>|---|;))"
+SIGNS = r"[<&\\\[{*_`~|$]|''|(?m:^[ \t]*(?:#|=|>|-[ \t]*-[ \t]*-|;|:+#|!))"
 
 #: Element names of HTML.
 _TAGS = (
@@ -42,6 +42,7 @@ _COMMANDS = (
 _T = "|".join(sorted(_TAGS, key=len, reverse=True))
 _C = "|".join(sorted(_COMMANDS, key=len, reverse=True))
 _W = r"[^\W\d_]"
+_P = r"\n(?![ \t]*\n)"  # a line end inside a paragraph
 
 #: (language, kind, weight, pattern). The weight is the cost of leaving the construct as content; kinds in the same
 #: position go by order. Weights under 3 are doubtful on their own.
@@ -54,14 +55,14 @@ _SPEC = [
     ("html", "tag", 8, rf"</?(?:{_T})(?:\s[^<>]*)?/?>"),
     ("html", "other", 2.5, r"</?[a-zA-Z][\w-]*(?:\s+[\w-]+=[^<>]*)?/?>(?!\w)"),
     ("html", "entity", 7, r"&(?:[a-zA-Z][a-zA-Z0-9]{1,30}|#\d{1,7}|#[xX][0-9a-fA-F]{1,6});"),
-    ("markdown", "fence", 8, r"^[ \t]*(?:```|~~~)[^\n`]*\n(?:.*?\n)??[ \t]*(?:```|~~~)[ \t]*$|^[ \t]*```[^\n]*$"),
+    ("markdown", "fence", 8, r"^[ \t]*(`{3,}|~{3,})[^\n`]*\n(?:.*?\n)??[ \t]*\1[ \t]*$|^[ \t]*```[^\n]*$"),
     ("latex", "math", 8, r"\\\[.*?\\\]|\\\(.*?\\\)|\$\$.+?\$\$|\\begin\{((?:equation|align|gather|math|displaymath|eqnarray|multline)\*?)\}.*?\\end\{(?:equation|align|gather|math|displaymath|eqnarray|multline)\*?\}"),
     ("latex", "verbatim", 8, r"\\begin\{(?:verbatim|lstlisting)\}.*?\\end\{(?:verbatim|lstlisting)\}"),
     ("latex", "env", 8, r"\\(?:begin|end)\{[\w*]+\}(?:\[[^\]\n]*\]|\{[^}\n]*\})*"),
     ("latex", "head", 8, r"\\(?:part|chapter|section|subsection|subsubsection|paragraph|subparagraph|title|caption)\*?\{[^{}\n]*\}"),
     ("latex", "arg", 8, r"\\(?!(?:begin|end)\b)[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}(?:\{[^{}\n]*\})*"),
     ("latex", "command", 6, rf"(?<![:\\\w])\\(?:{_C})(?![a-zA-Zæøåäöü\\])\*?[ \t]?"),
-    ("latex", "dollar", 6, r"\$(?=[^\s$])(?=[^$\n]*[\\^_={}+])[^$\n]{1,200}(?<=\S)\$(?!\d)"),
+    ("latex", "dollar", 6, rf"\$(?=[^\s$])(?=(?:[^$\n]|{_P})*[\\^_={{}}+])(?:[^$\n]|{_P})+(?<=\S)\$(?!\d)"),
     ("latex", "dollar1", 2.5, r"(?<![\w$])\$[a-zA-Z]\w?\$(?!\w)"),
     ("latex", "row", 3, r"[ \t]\\\\[ \t]*(?:\[\d+\w+\])?(?=\n|\Z)"),
     ("wiki", "table", 8, r"^\{\|[^\n]*$|^\|\}[ \t]*$|^\|-[^\n|]*$|^\|\+[^\n]*$"),
@@ -89,8 +90,8 @@ _SPEC = [
     ("markdown", "code", 7, r"(?<!`)(`{1,2})(?=[^\s`])[^`\n]+?\1(?!`)"),
     ("markdown", "strong", 8, r"(?<![\w*])\*{2,3}(?=[^\s*])[^\n]+?(?<=[^\s*])\*{2,3}(?![\w*])|(?<![\w_])__(?=[^\s_])(?![A-ZÆØÅ]+__)[^\n]+?(?<=[^\s_])__(?![\w_])"),
     ("markdown", "strike", 8, r"~~(?=\S)[^~\n]+?(?<=\S)~~"),
-    ("markdown", "em", 4, r"(?<![\w*\\])\*(?=[^\s*])(?:[^*\n]{1,120}?)(?<=[^\s*])\*(?![\w*])"),
-    ("markdown", "em_", 4, r"(?<![\w_\\/])_(?=[^\W_])(?:[^_\n]{1,120}?)(?<=[^\s_])_(?![\w_])"),
+    ("markdown", "em", 4, rf"(?<![\w*\\])\*(?=[^\s*])(?:[^*\n]|{_P})+?(?<=[^\s*])\*(?![\w*])"),
+    ("markdown", "em_", 4, rf"(?<![\w_\\/])_(?=[^\W_])(?:[^_\n]|{_P})+?(?<=[^\s_])_(?![\w_])"),
     ("markdown", "escape", 2.8, r"\\[*_#`\[\]()>!|~-]"),
 ]
 
@@ -108,11 +109,11 @@ def _compile() -> list[tuple[str, str, float, re.Pattern]]:
 
 
 _CONSTRUCTS = _compile()
-#: A sign that must stand in the text for any pattern of the group to match.
+#: A sign (or one of several) that must stand in the text for any pattern of the group to match.
 _NEED = {"html": "<&", "latex": "\\$", "wiki": "<{[='_~|#*:;!", "markdown": "#`~[*_|>=-<\\"}
 _NEED_KIND = {
     ("html", "entity"): "&", ("latex", "dollar"): "$", ("latex", "dollar1"): "$", ("wiki", "ref"): "<", ("wiki", "template"): "{{", ("wiki", "link"): "[[", ("wiki", "quote"): "''",
-    ("wiki", "head"): "==", ("wiki", "extlink"): "//", ("wiki", "table"): "|", ("wiki", "row"): "|", ("markdown", "fence"): "```", ("markdown", "refdef"): "]:", ("markdown", "image"): "![",
+    ("wiki", "head"): "==", ("wiki", "extlink"): "//", ("wiki", "table"): "|", ("wiki", "row"): ("||", "!!"), ("markdown", "fence"): ("```", "~~~"), ("markdown", "refdef"): "]:", ("markdown", "image"): "![",
     ("markdown", "link"): "](", ("markdown", "reflink"): "]", ("markdown", "note"): "[^", ("markdown", "autolink"): "<", ("markdown", "head"): "#", ("markdown", "task"): "[", ("markdown", "cells"): "|",
     ("markdown", "piped"): "|", ("markdown", "quote"): ">", ("markdown", "code"): "`", ("markdown", "strike"): "~~", ("markdown", "em"): "*", ("markdown", "em_"): "_", ("markdown", "escape"): "\\",
 }
@@ -135,7 +136,7 @@ def constructs(text: str) -> list[Node]:
     for lang, kind, weight, rx in _CONSTRUCTS:
         need = _NEED_KIND.get((lang, kind))
         if need is not None:
-            if need not in text:
+            if need not in text if isinstance(need, str) else not any(x in text for x in need):
                 continue
         elif not any(c in text for c in _NEED[lang]):
             continue
@@ -292,7 +293,7 @@ _NOISE = re.compile(r"(?<=[^\W\d_])[^\w\s'’\-/](?=[^\W\d_])|[^\w\s]{3,}|[%^§=
 _JSONLINE = ('{"', '[{"', "['")
 _ADDRESS = re.compile(r"\S+://\S+")
 #: Constructs whose content is code or no text: what stands in them says nothing about the text around.
-_HOLDERS = frozenset(("fence", "pre", "verbatim", "drop", "comment", "math"))
+_HOLDERS = frozenset(("fence", "pre", "verbatim", "drop", "comment", "math", "dollar"))
 _BLANK_LINE = re.compile(r"\n[ \t]*(?=\n)")
 
 
@@ -381,7 +382,7 @@ def linear(formula: str) -> str:
     """A LaTeX formula as one line of plain text."""
     s = re.sub(r"\\(?:begin|end)\{[\w*]+\}|\\label\{[^}]*\}", " ", formula.strip("$"))
     s = re.sub(r"^\\[\[(]|\\[\])]$", "", s.strip())
-    for _ in range(6):
+    while True:  # each round takes braces away
         t = re.sub(r"\\d?frac\{([^{}]*)\}\{([^{}]*)\}", r"(\1)/(\2)", s)
         t = re.sub(r"\\sqrt\{([^{}]*)\}", r"√(\1)", t)
         t = re.sub(r"\\(?:text|mathrm|mathbf|mathit|operatorname)\{([^{}]*)\}", r"\1", t)
@@ -488,10 +489,15 @@ def _rewrite(n: Node, g: str) -> str:
     return ""
 
 
+_SPACE = re.compile(r"\s+")
+
+
 def clean_text(text: str) -> str:
-    """The text with its residue rewritten. Repeated until no residue is left (an escaped tag becomes one), five times at
-    most."""
-    for _ in range(5):
+    """The text with its residue rewritten. Repeated until no residue is left (an escaped tag becomes one); each round but
+    the last takes signs away, so it ends."""
+    size = len(_SPACE.sub("", text)) + 1
+    while (left := len(_SPACE.sub("", text))) < size:
+        size = left
         todo = residue(text)
         if not todo:
             break

@@ -83,6 +83,30 @@ def test_noise_vetoes_only_its_own_place(text, languages, clean):
     assert markup.clean_text(text) == clean
 
 
+LONG = "byen er stor og rig " * 15 + "nu"
+
+
+@pytest.mark.parametrize(
+    ("text", "languages", "clean"),
+    [
+        (f"Se *{LONG}* her.", ["markdown"], f"Se {LONG} her."), (f"Se _{LONG}_ her.", ["markdown"], f"Se {LONG} her."), ("Se *den store\nby* her.", ["markdown"], "Se den store\nby her."), ("Se *den\n\nby* her.", [], "Se *den\n\nby* her."),
+        ("$x^2 + " + "y + " * 80 + "z$", ["latex"], "x^2 + " + "y + " * 80 + "z"), ("Se:\n\n~~~\nx = 1\n~~~\n\nNu.", ["markdown"], "Se:\n\n    x = 1\n\nNu."), ("! a !! b\n! c !! d", ["wiki"], "a\tb\nc\td"),
+        ("> > > > > > > > Byen er stor.", ["markdown"], " Byen er stor."), ("&" + "amp;" * 9 + "lt;b>fed", ["html"], "fed"),
+    ],
+)
+def test_no_length_or_depth_is_cut(text, languages, clean):
+    assert markup.found(text) == languages
+    assert markup.clean_text(text) == clean
+    assert markup.found(clean) == [] if languages else True
+
+
+def test_signs_let_every_construct_pass():
+    import re
+
+    signs = re.compile(markup.SIGNS.replace("(?m:", "(?:"), re.M)
+    assert all(signs.search(t) for t in ("a\n- - -\nb", "! a !! b", ":# et", "~~~\nx\n~~~")) and not signs.search("- et\n- to")
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/abp &;#*_`[]{}|\\$='~\n-x1 ", max_size=120))
 def test_markup_never_fails(text):
