@@ -69,13 +69,20 @@ class StubCompleter:
         }.get(pick, f"Hvad kan du fortælle mig om det, der er skrevet her, og hvorfor er det sådan: {first}?")
 
 
+def request_tasks(max_concurrency: int, parallelism: int) -> tuple[int, int]:
+    """(tasks, requests in flight in each): their product never passes ``max_concurrency``, however large the cluster is."""
+    tasks = max(1, min(max_concurrency, parallelism))
+    return tasks, max(1, max_concurrency // tasks)
+
+
 def completed(df: DataFrame, completer: Completer, system: str, model: str, temperature: float, cache_path: str, max_concurrency: int = 50, attempts: int = 5) -> DataFrame:
     """Adds ``response`` for ``prompt``. Prompts in the cache are not sent; each other distinct prompt is sent once, and its
-    response is written to the cache before anything reads it, so that a task run again later never calls the service twice."""
+    response is written to the cache before anything reads it, so that a task run again later never calls the service
+    twice. Misses are spread over a fixed number of tasks, so that the bound of requests in flight holds."""
     spark = df.sparkSession
     keyed = df.withColumn("key", cache_key(model, temperature, system, F.col("prompt")))
     missing = keyed.select("key", "prompt").dropDuplicates(["key"]).join(read_cache(spark, cache_path).select("key"), "key", "left_anti")
-    per_task = max(1, max_concurrency // max(1, spark.sparkContext.defaultParallelism))
+    tasks, per_task = request_tasks(max_concurrency, spark.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(per_task) as pool:
@@ -83,5 +90,5 @@ def completed(df: DataFrame, completer: Completer, system: str, model: str, temp
                 r = list(pool.map(lambda p: with_retries(completer, system, p, attempts), b.prompt))
                 yield pd.DataFrame({"key": b.key, "response": r})
 
-    append_cache(missing.mapInPandas(run, "key string, response string"), cache_path)
+    append_cache(missing.repartition(tasks, "key").mapInPandas(run, "key string, response string"), cache_path)
     return lookup(keyed, read_cache(spark, cache_path)).drop("key")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import squeezed
+from ..functions.text import once, squeezed
 
 
 def contained(source: Column, extract: Column) -> Column:
@@ -25,14 +25,14 @@ def matching_share(source: str, extract: str) -> float:
 
 
 def _shares(source: pd.Series, extract: pd.Series) -> pd.Series:
-    return pd.Series([matching_share(a, b) for a, b in zip(source, extract)], dtype="float64")
+    return pd.Series([1.0 if a is None else matching_share(a, b) for a, b in zip(source, extract)], dtype="float64")
 
 
 def verbatim(df: DataFrame, source: str, extract: str, threshold: float = 0.9) -> DataFrame:
-    """Adds ``verbatim``. Only rows that fail the fast path reach Python: a UDF behind a condition would still see every
-    row, so the two kinds of rows go separate ways."""
-    d = df.withColumn("_in", contained(F.col(source), F.col(extract)))
-    fast = d.where("_in").withColumn("verbatim", F.lit(True))
-    share = F.pandas_udf(_shares, "double")(squeezed(F.coalesce(source, F.lit(""))), squeezed(F.coalesce(extract, F.lit(""))))
-    slow = d.where(~F.col("_in")).withColumn("verbatim", share >= threshold)
-    return fast.unionByName(slow).drop("_in")
+    """Adds ``verbatim``. A UDF behind a condition sees every row all the same, so rows that pass the fast path give it nulls:
+    they are read once like the others, but no text of theirs goes to Python and nothing is compared."""
+    d = once(df, _a=squeezed(F.coalesce(source, F.lit(""))), _b=squeezed(F.coalesce(extract, F.lit(""))))
+    d = once(d, _in=F.col("_a").contains(F.col("_b")))
+    slow = lambda c: F.when(~F.col("_in"), F.col(c))
+    share = F.pandas_udf(_shares, "double")(slow("_a"), slow("_b"))
+    return d.withColumn("verbatim", F.col("_in") | (share >= threshold)).drop("_a", "_b", "_in")

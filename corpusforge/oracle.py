@@ -189,16 +189,73 @@ def unlabelled(x: str) -> str:
 
 _SQUEEZED = "array_to_string({w}, ' ')"
 _CONTAINED = f"contains({_SQUEEZED.format(w=words('coalesce(original_paragraph, chr(32))'))}, {_SQUEEZED.format(w=words('coalesce(paragraph, chr(32))'))})"
+_FORMAT = "['A', 'B', 'C'][CAST(list_sum(list_transform(range(1, 65), lambda i: CAST('0x' || substr(sha256(paragraph), i, 1) AS INTEGER))) % 3 AS INTEGER) + 1]"
+_GENERATE = "CASE (CASE WHEN kind IN (" + ", ".join(map(lit, prompts.SELECT)) + ") THEN kind ELSE 'knowledge' END) || '|' || fmt " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in prompts.GENERATE.items()) + " END"
 _RESPONSE = "CASE WHEN selected_id % 7 = 0 THEN ' skip' || chr(10) WHEN selected_id % 11 = 0 THEN '' ELSE paragraph END"
 _USABLE = "coalesce(instruction, '') <> '' AND coalesce(paragraph, '') <> '' AND NOT (" + " OR ".join(f"starts_with(instruction, {lit(p)})" for p in fixed.REFUSAL_STARTS) + ")"
 
+
+# ------------------------------------------------------------------ stages with the offline completer
+
+def pick(x: str) -> str:
+    return f"CAST('0x' || substr(sha256({x}), 1, 6) AS BIGINT) % 10"
+
+
+def selected(source: str, more: str = "") -> str:
+    """Stage 2 over (paragraph, title, url, section_heading, source_type): only a cut of the text itself is ever kept."""
+    cut = "substr(paragraph, 1, CAST(greatest(150, length(paragraph) * 2 // 3) AS BIGINT))"
+    return f"""SELECT {strip(cut)} AS paragraph, paragraph AS original_paragraph, coalesce(title, '') AS title, coalesce(url, '') AS url, coalesce(section_heading, '') AS section_heading,
+coalesce(source_type, 'knowledge') AS source_type{more} FROM {source} WHERE {pick('paragraph')} >= 5 AND length({strip(cut)}) >= 150"""
+
+
+def answer_case(labels: bool) -> str:
+    """What the offline completer answers to a paragraph."""
+    first = "array_to_string(" + words("paragraph") + "[1:6], ' ')"
+    b, c = ("Format B: ", "Format C\n\n") if labels else ("", "")
+    answers = {
+        0: f"{lit(b)} || 'Kan du fortælle mig, hvad det betyder for os, når man siger: ' || {first} || '?'", 1: f"{lit(c)} || 'Hvad er det, som der menes med: ' || {first} || '?'",
+        2: f"'Please tell me more about this particular topic and explain why: ' || {first}", 3: f"'Jeg kan ikke hjælpe med det, for der er ikke nok om: ' || {first}", 4: "''" if labels else "NULL",
+    }
+    case = f"CASE {pick('paragraph')} " + " ".join(f"WHEN {k} THEN {v}" for k, v in answers.items())
+    return case + f" ELSE 'Hvad kan du fortælle mig om det, der er skrevet her, og hvorfor er det sådan: ' || {first} || '?' END"
+
+
+def instructed(source: str, columns: str) -> str:
+    """Stage 3: the completer's instruction without its label, if it looks Danish."""
+    return f"""SELECT {columns}, instruction FROM (SELECT *, {words('lower(instruction)')} AS iw FROM (SELECT *,
+{strip(answer_case(False))} AS instruction FROM {source})) WHERE instruction IS NOT NULL AND {DANISH}"""
+
+
+DANISH = f"(len(iw) < 8 OR {cnt('iw', 'x', one_of('x', fixed.DANISH_MARKERS))} * 100 >= len(iw) * 6)"
+
+
+def finished(source: str, key: str, order: str, more: str = "") -> str:
+    """Stage 4 over (key, instruction, paragraph)."""
+    return f"""{survivors(key, 'instruction', f'(SELECT * FROM {source} WHERE {_USABLE})')},
+second AS ({survivors(key, 'paragraph', f'(SELECT * FROM {source} JOIN kept USING ({key}) WHERE {_USABLE})')} SELECT {key} FROM kept),
+one AS (SELECT {key}, max(instruction) AS instruction, max(paragraph) AS answer{more} FROM {source} JOIN second USING ({key}) GROUP BY {key})
+SELECT 'prompt_' || CAST(row_number() OVER (ORDER BY {order}, {key}) - 1 AS VARCHAR) AS prompt_id, * EXCLUDE ({key}) FROM one"""
+
+
+_ASIS = "paragraph, original_paragraph, title, url, section_heading, source_type"
+_E2E_ORDER = "md5(concat_ws('|', '42', CAST(k0 // 1000000 AS VARCHAR), CAST(k0 % 1000000 AS VARCHAR)))"
+
+
+def _type_of(x: str) -> str:
+    return f"CASE {' '.join(f'WHEN {x} = {lit(k)} THEN {lit(v)}' for k, v in fixed.SUBSET_TYPES.items())} ELSE 'knowledge' END"
+
+
+def _judged(r: str) -> str:
+    return f"CASE WHEN coalesce({r}, '') = '' THEN 'fail' WHEN upper({strip(r)}) = 'SKIP' THEN 'skip' WHEN length({strip(r)}) < 150 THEN 'short' WHEN NOT c THEN 'verify' ELSE 'kept' END"
+
+
 ORACLE_SQL: dict[str, str] = {
     "split_generic": f"WITH src AS (SELECT doc_id, text AS t, title, url FROM documents), {CHUNKS} SELECT doc_id, chunk_idx, paragraph FROM parts",
     "split_sections": f"WITH src AS (SELECT paragraph_id, paragraph AS t FROM paragraphs), {section_parts('paragraph_id', 'src')} SELECT paragraph_id, chunk_idx, section_heading, paragraph FROM parts",
     "split_sentences": unnested("doc_id", "s", f"(SELECT doc_id, {sentences('text')} AS s FROM documents)", "sentence", "pos"),
     "merge_blocks": unnested("doc_id", "m", f"(SELECT doc_id, {unfolded('s')} AS m FROM (SELECT doc_id, {merged(lines('text'), 500, 'chr(10)')} AS s FROM documents))", "block", "pos"),
     "clean_paragraph": f"SELECT doc_id, {cleaned('text')} AS cleaned FROM documents",
-    "metadata_url": f"SELECT doc_id, {kilde('t')} AS found_url FROM (SELECT doc_id, text || CASE WHEN doc_id % 2 = 0 THEN chr(10) || 'Kilde: ' || url || ' ' ELSE chr(10) || 'Kilde:x' || chr(10) || 'Publiceret: 2024-01-02' END AS t FROM documents)",
+    "metadata_url": f"SELECT doc_id, {kilde('t')} AS found_url, {kilde('text')} AS own_url FROM (SELECT doc_id, text, text || CASE WHEN doc_id % 2 = 0 THEN chr(10) || 'Kilde: ' || url || ' ' ELSE chr(10) || 'Kilde:x' || chr(10) || 'Publiceret: 2024-01-02' END AS t FROM documents)",
     **{f"rule_{n}": f"SELECT paragraph_id, {r} AS rejected FROM {_P}" for n, r in RULES.items()},
     "filter_generic": f"SELECT paragraph_id, {verdict(_ORDER)} AS verdict FROM {_P}",
     "filter_wiki": f"SELECT paragraph_id, {verdict(_WIKI)} AS verdict FROM {_P}",
@@ -206,16 +263,15 @@ ORACLE_SQL: dict[str, str] = {
     "extract_generic": extracted(_ORDER, CHUNKS, _DOCS),
     "extract_wiki": extracted(_WIKI, section_parts("doc_id, title, url", "src"), _DOCS_WIKI),
     "extract_sample": f"SELECT doc_seq, chunk_idx FROM ({extracted(_ORDER, CHUNKS, _DOCS)}) ORDER BY md5(concat_ws('|', '42', CAST(doc_seq AS VARCHAR), CAST(chunk_idx AS VARCHAR))), doc_seq, chunk_idx LIMIT 100",
-    "source_types": f"SELECT doc_id, s AS subset, CASE {' '.join(f'WHEN s = {lit(k)} THEN {lit(v)}' for k, v in fixed.SUBSET_TYPES.items())} ELSE 'knowledge' END AS source_type FROM (SELECT doc_id, {_SUBSETS}[CAST(doc_id % 8 AS INTEGER) + 1] AS s FROM documents)",
-    "format_choice": "SELECT selected_id, ['A', 'B', 'C'][CAST(list_sum(list_transform(range(1, 65), lambda i: CAST('0x' || substr(sha256(paragraph), i, 1) AS INTEGER))) % 3 AS INTEGER) + 1] AS format FROM selected WHERE paragraph IS NOT NULL",
+    "source_types": f"SELECT doc_id, s AS subset, {_type_of('s')} AS source_type, {_type_of('source')} AS own_type FROM (SELECT doc_id, source, {_SUBSETS}[CAST(doc_id % 8 AS INTEGER) + 1] AS s FROM documents)",
+    "format_choice": f"SELECT selected_id, {_FORMAT} AS format FROM selected WHERE paragraph IS NOT NULL",
     "render_prompt": f"SELECT paragraph_id, replace({_PROMPT}, '{{paragraph}}', paragraph) AS prompt FROM paragraphs",
-    "label_strip": f"SELECT pair_id, {unlabelled('i')} AS instruction FROM (SELECT pair_id, CASE WHEN pair_id % 3 = 0 THEN ' Format C' || chr(10) || chr(10) || instruction ELSE instruction END AS i FROM with_instructions)",
+    "label_strip": f"SELECT pair_id, {unlabelled('i')} AS instruction, {unlabelled('instruction')} AS own FROM (SELECT pair_id, instruction, CASE WHEN pair_id % 3 = 0 THEN ' Format C' || chr(10) || chr(10) || instruction ELSE instruction END AS i FROM with_instructions)",
     "looks_danish": f"SELECT doc_id, len(w) < 8 OR {cnt('w', 'x', one_of('x', fixed.DANISH_MARKERS))} * 100 >= len(w) * 6 AS danish FROM (SELECT doc_id, {words('lower(text)')} AS w FROM documents)",
     "refusal_filter": f"SELECT pair_id, instruction FROM with_instructions WHERE {_USABLE}",
     "normalised_text": f"SELECT doc_id, {_SQUEEZED.format(w=words('text'))} AS squeezed FROM documents",
     "verbatim_fast": f"SELECT selected_id, {_CONTAINED} AS contained FROM selected",
-    "select_verdicts": f"""SELECT selected_id, CASE WHEN coalesce(r, '') = '' THEN 'fail' WHEN upper({strip('r')}) = 'SKIP' THEN 'skip' WHEN length({strip('r')}) < 150 THEN 'short' WHEN NOT c THEN 'verify' ELSE 'kept' END AS verdict
-FROM (SELECT selected_id, {_RESPONSE} AS r, {_CONTAINED} AS c FROM selected)""",
+    "select_verdicts": f"""SELECT selected_id, {_judged('r')} AS verdict, {_judged('paragraph')} AS own FROM (SELECT selected_id, paragraph, {_RESPONSE} AS r, {_CONTAINED} AS c FROM selected)""",
     "resume_anti": "SELECT paragraph_id FROM paragraphs p WHERE NOT EXISTS (SELECT 1 FROM selected s WHERE s.original_paragraph = p.paragraph)",
     "append_done": "SELECT paragraph, source_type, NULL AS title FROM selected UNION ALL SELECT paragraph, source_type, title FROM paragraphs",
     "cache_lookup": "SELECT selected_id, response FROM selected s LEFT JOIN (SELECT sha256(paragraph) AS key, max(instruction) AS response FROM with_instructions WHERE paragraph IS NOT NULL GROUP BY 1) c ON c.key = sha256(s.paragraph)",
@@ -224,10 +280,24 @@ FROM (SELECT selected_id, {_RESPONSE} AS r, {_CONTAINED} AS c FROM selected)""",
     "sample_n": f"SELECT doc_id, title FROM documents ORDER BY {_ORDER_KEY.format(k='doc_id')}, doc_id LIMIT 50",
     "shuffle_ids": f"SELECT doc_id, row_number() OVER (ORDER BY {_ORDER_KEY.format(k='doc_id')}, doc_id) - 1 AS row_no FROM documents",
     "chat_format": "SELECT pair_id, instruction AS content, 'user' AS role FROM with_instructions UNION ALL SELECT pair_id, paragraph, 'assistant' FROM with_instructions",
-    "postprocess": f"""{survivors('pair_id', 'instruction', f'(SELECT * FROM with_instructions WHERE {_USABLE})')},
-second AS ({survivors('pair_id', 'paragraph', f'(SELECT * FROM with_instructions JOIN kept USING (pair_id) WHERE {_USABLE})')} SELECT pair_id FROM kept),
-one AS (SELECT pair_id, max(instruction) AS instruction, max(paragraph) AS answer FROM with_instructions JOIN second USING (pair_id) GROUP BY 1)
-SELECT 'prompt_' || CAST(row_number() OVER (ORDER BY {_ORDER_KEY.format(k='pair_id')}, pair_id) - 1 AS VARCHAR) AS prompt_id, instruction, answer FROM one""",
+    "postprocess": finished("with_instructions", "pair_id", _ORDER_KEY.format(k="pair_id")),
+    "select_stage": selected("(SELECT paragraph, title, url, section_heading, lower(trim(source_type)) AS source_type FROM paragraphs WHERE paragraph IS NOT NULL)"),
+    "generate_stage": instructed("(SELECT paragraph, original_paragraph, title, url, section_heading, lower(trim(source_type)) AS source_type FROM selected WHERE paragraph IS NOT NULL)", _ASIS),
+    "pipeline_e2e": f"""WITH ex AS ({extracted(_ORDER, CHUNKS, _DOCS)}),
+sel AS ({selected("ex", ", doc_seq * 1000000 + chunk_idx AS k0")}),
+pairs AS ({instructed("sel", _ASIS + ", k0")})
+SELECT * FROM ({finished("pairs", "k0", _E2E_ORDER, ", max(title) AS title, max(url) AS url, max(section_heading) AS section_heading")})""",
+    "generate_prompt": f"SELECT selected_id, {lit(prompts.GENERATE_SYSTEM)} AS system, replace({_GENERATE}, '{{paragraph}}', paragraph) AS prompt FROM (SELECT *, lower(trim(source_type)) AS kind, {_FORMAT} AS fmt FROM selected WHERE paragraph IS NOT NULL)",
+    "cache_keys": f"""SELECT pair_id, sha256('{{"m":"m","t":0.3,"s":' || to_json({lit(prompts.SELECT_SYSTEM)}) || ',"u":' || to_json(coalesce(instruction, '')) || '}}') AS key FROM with_instructions""",
+    "completion_map": f"SELECT selected_id, {answer_case(True)} AS response FROM selected WHERE paragraph IS NOT NULL",
+    "resume_generate": "SELECT selected_id FROM selected s WHERE NOT EXISTS (SELECT 1 FROM with_instructions w WHERE w.paragraph = s.paragraph)",
+    "stage_counts": f"""SELECT 'loaded' AS step, count(*) AS rows FROM with_instructions UNION ALL SELECT 'usable', count(*) FROM with_instructions WHERE {_USABLE}
+UNION ALL SELECT 'instructions', count(*) FROM ({survivors('pair_id', 'instruction', f'(SELECT * FROM with_instructions WHERE {_USABLE})')} SELECT * FROM kept)
+UNION ALL SELECT 'answers', count(*) FROM ({finished("with_instructions", "pair_id", _ORDER_KEY.format(k="pair_id"))})""",
+    "resolve_defaults": "SELECT r_regionkey AS k, s.* FROM region, (VALUES ('', 'danish_wikipedia', 'title', 'url'), ('ft', 'danish_subsets', 'id', '')) s(subset, dataset, title, url)",
+    "parquet_round_trip": "SELECT paragraph_id, paragraph, nullif(lower(trim(source_type)), '') AS source_type FROM paragraphs",
+    "source_discovery": "SELECT * FROM (VALUES ('anden', true), ('egen', true), ('none', false)) v(name, local)",
+    "skip_done": "SELECT n, there, false AS missing FROM (VALUES (0, true), (1, true), (5, true), (6, false)) v(n, there)",
     "jsonl_round_trip": "SELECT paragraph, title, url, section_heading, source_type FROM paragraphs",
     "source_scan": "SELECT text, CAST(doc_id AS VARCHAR) AS title, url FROM documents WHERE text IS NOT NULL",
 }

@@ -5,13 +5,15 @@ from __future__ import annotations
 import traceback
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed import DEFAULT_TYPE, RUN_SUBSETS, SUBSET_TYPES
+from ..operators import instruct
 from ..operators.completion import Completer, HttpCompleter, StubCompleter
 from ..operators.split import is_wiki_like
-from ..sources import tables
+from ..sources import shared, tables
 from ..sources.settings import Settings
 from . import stages
 
@@ -33,10 +35,20 @@ def completer_of(s: Settings, kind: str) -> Completer:
     return HttpCompleter(s.base_url, s.api_key, s.model_name, s.temperature) if s.base_url else StubCompleter(kind)
 
 
-def _with_order(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A stage file with a total order of its rows: the hash of their content, duplicates numbered by nothing."""
-    df = tables.read_jsonl(spark, path, schema)
-    return df.withColumn("seq", F.md5(F.to_json(F.struct(*df.columns))))
+def _stage(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stage's file with the order of the source (null for a file that lacks it)."""
+    tables.recover(spark, path)
+    return tables.read_jsonl(spark, path, tables.with_order(schema))
+
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The rows of ``df`` are counted while they are written, without a second run."""
+    o = Observation(name)
+    return df.observe(o, F.count("*").alias("rows")), o
+
+
+def _removed(before: int, after: int) -> str:
+    return f"{after} kept, {before - after} removed ({100 * (before - after) / max(before, 1):.1f} %)"
 
 
 def run_extract(spark: SparkSession, s: Settings, dataset: str = DEFAULT_DATASET, subset: str = "", text: str = "text", title: str = "title", url: str = "url", n_samples: int = 0, seed: int = 42, min_chars: int = 100, max_chars: int = 3000) -> str:
@@ -48,43 +60,52 @@ def run_extract(spark: SparkSession, s: Settings, dataset: str = DEFAULT_DATASET
     path = tables.source_path(spark, s.data_dir, f"{dataset}/{subset}" if subset else dataset)
     docs = tables.read_source(spark, path, text, title, url)
     kind = SUBSET_TYPES.get(subset, DEFAULT_TYPE)
-    rows = stages.extract(docs, None, is_wiki_like(dataset, subset), kind, min_chars, max_chars, n_samples, seed)
-    tables.write_jsonl(rows.select(*tables.PARAGRAPH.fieldNames()), out)
+    docs, read = _counted(docs, "documents")
+    rows, written = _counted(stages.extract(docs, "doc_seq", is_wiki_like(dataset, subset), kind, min_chars, max_chars, n_samples, seed), "paragraphs")
+    tables.write_jsonl(rows.select(*tables.with_order(tables.PARAGRAPH).fieldNames()), out)
+    sampled = f" (a sample of {n_samples})" if n_samples else ""
+    print(f"extract: {written.get['rows']} paragraphs{sampled} of {read.get['rows']} documents with text")
     return out
 
 
-def _replace(spark: SparkSession, rows: DataFrame, out: str) -> None:
-    """Writes beside the old output first, as the rows may come from it."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    tables.write_jsonl(rows, out + ".new")
-    fs = fs_path(out).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(out), True)
-    fs.rename(fs_path(out + ".new"), fs_path(out))
-
-
 def run_select(spark: SparkSession, s: Settings, completer: Completer | None = None) -> str:
     out = f"{s.data_dir}/selected.jsonl"
-    docs = tables.read_jsonl(spark, f"{s.data_dir}/paragraphs.jsonl", tables.PARAGRAPH)
-    done = tables.read_jsonl(spark, out, tables.SELECTED) if tables.exists(spark, out) else None
-    rows, counts = stages.select_passages(docs, done, completer or completer_of(s, "select"), f"{s.data_dir}/cache.parquet", s.model_name, s.temperature, s.max_concurrency)
-    print("select:", {r.verdict: r.rows for r in counts.collect()})  # five verdicts
-    _replace(spark, rows.select(*tables.SELECTED.fieldNames()), out)
+    with shared.scope():
+        docs = _stage(spark, f"{s.data_dir}/paragraphs.jsonl", tables.PARAGRAPH)
+        tables.recover(spark, out)
+        done = _stage(spark, out, tables.SELECTED) if tables.exists(spark, out) else None
+        rows, counts = stages.select_passages(docs, done, completer or completer_of(s, "select"), f"{s.data_dir}/cache.parquet", s.model_name, s.temperature, s.max_concurrency)
+        rows, total = _counted(rows, "selected")
+        tables.replace_jsonl(rows.select(*tables.with_order(tables.SELECTED).fieldNames()), out)
+        by = {r.verdict: r.rows for r in counts.collect()}  # five verdicts
+        print(f"select: {total.get['rows']} passages in all; of the new ones {', '.join(f'{v} {by.get(v, 0)}' for v in stages.VERDICTS)}")
     return out
 
 
 def run_generate(spark: SparkSession, s: Settings, completer: Completer | None = None) -> str:
     out = f"{s.data_dir}/with_instructions.jsonl"
-    docs = tables.read_jsonl(spark, f"{s.data_dir}/selected.jsonl", tables.SELECTED)
-    done = tables.read_jsonl(spark, out, tables.INSTRUCTED) if tables.exists(spark, out) else None
-    rows = stages.generate(docs, done, completer or completer_of(s, "generate"), f"{s.data_dir}/cache.parquet", s.model_name, s.temperature, s.max_concurrency)
-    _replace(spark, rows.select(*tables.INSTRUCTED.fieldNames()), out)
+    with shared.scope():
+        docs, asked = _counted(_stage(spark, f"{s.data_dir}/selected.jsonl", tables.SELECTED), "passages")
+        tables.recover(spark, out)
+        done = _stage(spark, out, tables.INSTRUCTED) if tables.exists(spark, out) else None
+        rows = stages.generate(docs, done, completer or completer_of(s, "generate"), f"{s.data_dir}/cache.parquet", s.model_name, s.temperature, s.max_concurrency)
+        rows, total = _counted(rows, "pairs")
+        tables.replace_jsonl(rows.select(*tables.with_order(tables.INSTRUCTED).fieldNames()), out)
+        print(f"generate: {total.get['rows']} of {asked.get['rows']} passages have an instruction, {max(0, asked.get['rows'] - total.get['rows'])} failed or are not Danish")
     return out
 
 
 def run_postprocess(spark: SparkSession, s: Settings) -> str:
-    docs = _with_order(spark, f"{s.data_dir}/with_instructions.jsonl", tables.INSTRUCTED)
-    final = stages.postprocess(docs, ["seq"], s.minhash_threshold, s.num_perm)
-    tables.write_parquet(final, f"{s.data_dir}/final.parquet")
+    with shared.scope():
+        docs = _stage(spark, f"{s.data_dir}/with_instructions.jsonl", tables.INSTRUCTED)
+        usable = F.count_if(instruct.usable(F.col("instruction"), F.col("paragraph")))
+        loaded = Observation("pairs")
+        docs = shared.materialise(docs.observe(loaded, F.count("*").alias("rows"), usable.alias("usable")), "pairs")
+        final, passes = stages.postprocess(docs, tables.ORDER.fieldNames(), s.minhash_threshold, s.num_perm, vocabulary=s.dedup_vocabulary)
+        tables.write_parquet(final, f"{s.data_dir}/final.parquet")
+        first, second = (p.count() for p in passes)  # of tables that are written already
+        n = loaded.get
+        print(f"postprocess: {n['rows']} pairs; refusals: {_removed(n['rows'], n['usable'])}; near-duplicate instructions: {_removed(n['usable'], first)}; near-duplicate answers: {_removed(first, second)}")
     tables.write_jsonl(spark.read.parquet(f"{s.data_dir}/final.parquet"), f"{s.data_dir}/final.jsonl")
     return f"{s.data_dir}/final.parquet"
 

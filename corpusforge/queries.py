@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +9,11 @@ from pyspark.sql import functions as F
 
 from .functions import fixed, prompts
 from .functions.text import split_lines, squeezed
-from .operators import clean, dedup, instruct, ordering, resume, rules, split, verbatim
+from .operators import clean, completion, dedup, instruct, ordering, resume, rules, split, verbatim
 from .operators.completion import StubCompleter
-from .plans import stages
-from .sources import cache, tables
+from .plans import pipeline, stages
+from .sources import cache, settings, tables
+from .sources.shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,17 +27,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share (of tests: a temporary folder)."""
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="corpusforge-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------ splitting and cleaning
 
 @query
@@ -70,7 +59,7 @@ def clean_paragraph(spark: SparkSession, d: str) -> DataFrame:
 @query
 def metadata_url(spark: SparkSession, d: str) -> DataFrame:
     t = F.concat(F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\nKilde: "), F.col("url"), F.lit(" "))).otherwise(F.lit("\nKilde:x\nPubliceret: 2024-01-02")))
-    return table(spark, d, "documents").select("doc_id", clean.metadata_url(t).alias("found_url"))
+    return table(spark, d, "documents").select("doc_id", clean.metadata_url(t).alias("found_url"), clean.metadata_url(F.col("text")).alias("own_url"))
 
 
 # ------------------------------------------------------------------ rules
@@ -129,7 +118,7 @@ def extract_sample(spark: SparkSession, d: str) -> DataFrame:
 @query
 def source_types(spark: SparkSession, d: str) -> DataFrame:
     s = F.element_at(F.array(*[F.lit(k) for k in (*fixed.SUBSET_TYPES, "other")]), (F.pmod("doc_id", F.lit(8)) + 1).cast("int"))
-    return table(spark, d, "documents").select("doc_id", s.alias("subset"), instruct.source_type(s).alias("source_type"))
+    return table(spark, d, "documents").select("doc_id", s.alias("subset"), instruct.source_type(s).alias("source_type"), instruct.source_type(F.col("source")).alias("own_type"))
 
 
 @query
@@ -146,7 +135,7 @@ def render_prompt(spark: SparkSession, d: str) -> DataFrame:
 @query
 def label_strip(spark: SparkSession, d: str) -> DataFrame:
     i = F.when(F.col("pair_id") % 3 == 0, F.concat(F.lit(" Format C\n\n"), F.col("instruction"))).otherwise(F.col("instruction"))
-    return table(spark, d, "with_instructions").select("pair_id", instruct.without_label(i).alias("instruction"))
+    return table(spark, d, "with_instructions").select("pair_id", instruct.without_label(i).alias("instruction"), instruct.without_label(F.col("instruction")).alias("own"))
 
 
 @query
@@ -177,8 +166,8 @@ def verbatim_full(spark: SparkSession, d: str) -> DataFrame:
 @query
 def select_verdicts(spark: SparkSession, d: str) -> DataFrame:
     r = F.when(F.col("selected_id") % 7 == 0, F.lit(" skip\n")).when(F.col("selected_id") % 11 == 0, F.lit("")).otherwise(F.col("paragraph"))
-    v = instruct.select_verdict(r, verbatim.contained(F.col("original_paragraph"), F.col("paragraph")))
-    return table(spark, d, "selected").select("selected_id", v.alias("verdict"))
+    c = verbatim.contained(F.col("original_paragraph"), F.col("paragraph"))
+    return table(spark, d, "selected").select("selected_id", instruct.select_verdict(r, c).alias("verdict"), instruct.select_verdict(F.col("paragraph"), c).alias("own"))
 
 
 @query
@@ -243,17 +232,87 @@ def chat_format(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def postprocess(spark: SparkSession, d: str) -> DataFrame:
-    w = table(spark, d, "with_instructions").dropDuplicates(["pair_id"])
-    f = stages.postprocess(w, ["pair_id"])
+    w = table(spark, d, "with_instructions").select("pair_id", "instruction", "paragraph", "title", "url", "section_heading", "source_type")
+    f, _ = stages.postprocess(w, ["pair_id"])
     return f.select("prompt_id", F.col("messages")[0]["content"].alias("instruction"), F.col("messages")[1]["content"].alias("answer"))
 
 
+@query
+def lsh_dedup_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.first_of_their_kind(table(spark, d, "documents"), ["doc_id"], "text", vocabulary=settings.path_of(spark, "corpusforge.tokenizer", settings.VOCABULARY))
+
+
 @query
 def pipeline_e2e(spark: SparkSession, d: str) -> DataFrame:
     p = extract_generic(spark, d)
     s, _ = stages.select_passages(p, None, StubCompleter("select"), scratch(spark, "cache"))
     g = stages.generate(s, None, StubCompleter("generate"), scratch(spark, "cache"))
-    return stages.postprocess(g.withColumn("seq", F.md5(F.to_json(F.struct(*g.columns)))), ["seq"])
+    f, _ = stages.postprocess(g, ["doc_seq", "chunk_idx"])
+    return f.select("prompt_id", F.col("messages")[0]["content"].alias("instruction"), F.col("messages")[1]["content"].alias("answer"), "title", "url", "section_heading")
+
+
+@query
+def generate_prompt(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "selected").where("paragraph is not null")
+    kind = F.lower(F.trim("source_type"))
+    p = instruct.rendered(prompts.GENERATE, stages.template_of(kind, F.col("paragraph")), f"{fixed.DEFAULT_TYPE}|A", F.col("paragraph"))
+    return t.select("selected_id", F.lit(prompts.GENERATE_SYSTEM).alias("system"), p.alias("prompt"))
+
+
+@query
+def cache_keys(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "with_instructions").select("pair_id", cache.cache_key("m", 0.3, prompts.SELECT_SYSTEM, F.coalesce("instruction", F.lit(""))).alias("key"))
+
+
+@query
+def completion_map(spark: SparkSession, d: str) -> DataFrame:
+    asked = table(spark, d, "selected").where("paragraph is not null").select("selected_id", F.col("paragraph").alias("prompt"))
+    return completion.completed(asked, StubCompleter("generate"), "", "m", 1.0, scratch(spark, "cache")).select("selected_id", "response")
+
+
+@query
+def resume_generate(spark: SparkSession, d: str) -> DataFrame:
+    return resume.remaining(table(spark, d, "selected"), table(spark, d, "with_instructions"), "paragraph", "paragraph").select("selected_id")
+
+
+@query
+def stage_counts(spark: SparkSession, d: str) -> DataFrame:
+    w = table(spark, d, "with_instructions").select("pair_id", "instruction", "paragraph", "title", "url", "section_heading", "source_type")
+    usable = w.where(instruct.usable(F.col("instruction"), F.col("paragraph")))
+    _, passes = dedup.without_near_duplicates(usable, ["pair_id"], ["instruction", "paragraph"])
+    steps = (("loaded", w), ("usable", usable), ("instructions", passes[0]), ("answers", passes[1]))
+    one = [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("step"), "rows") for n, t in steps]
+    return one[0].unionAll(one[1]).unionAll(one[2]).unionAll(one[3])
+
+
+@query
+def resolve_defaults(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "region").select(F.col("r_regionkey").alias("k"), F.explode(F.array(*[F.lit(x) for x in ("", "ft")])).alias("subset"))
+    rows = [(s, *pipeline.resolve_defaults(s, pipeline.DEFAULT_DATASET, "title", "url", False)) for s in ("", "ft")]
+    return t.join(spark.createDataFrame(rows, "subset string, dataset string, title string, url string"), "subset")
+
+
+@query
+def parquet_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "parquet")
+    tables.write_parquet(table(spark, d, "paragraphs").select("paragraph_id", "paragraph", F.lower(F.trim("source_type")).alias("source_type")), path, "source_type")
+    return spark.read.parquet(path)
+
+
+@query
+def source_discovery(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch(spark, "sources")
+    for name in ("ft", "egen", "anden"):
+        tables.write_parquet(table(spark, d, "region"), f"{root}/{name}/{tables.SOURCE_FILE}")
+    found = [(n, tables.source_path(spark, f"{root}/{n}", "remote").endswith(tables.SOURCE_FILE)) for n in tables.local_datasets(spark, root, ("ft",))]
+    return spark.createDataFrame([*found, ("none", tables.source_path(spark, f"{root}/none", "remote") != "remote")], "name string, local boolean")
+
+
+@query
+def skip_done(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "done")
+    tables.write_jsonl(table(spark, d, "region"), path)  # five rows
+    return spark.createDataFrame([(n, tables.enough(spark, path, n), tables.enough(spark, path + "-none", n)) for n in (0, 1, 5, 6)], "n int, there boolean, missing boolean")
 
 
 @query
@@ -265,4 +324,4 @@ def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def source_scan(spark: SparkSession, d: str) -> DataFrame:
-    return tables.read_source(spark, f"{d}/documents.parquet", "text", "doc_id", "url")
+    return tables.read_source(spark, f"{d}/documents.parquet", "text", "doc_id", "url").drop("doc_seq")

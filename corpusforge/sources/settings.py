@@ -7,17 +7,29 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
+#: Path of the rank file of a public byte-pair tokenizer (a parameter).
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
+def path_of(spark: SparkSession, conf: str, default: str) -> str:
+    """A path that is a parameter: the session's ``conf``, else the environment variable of that name, else ``default``."""
+    return spark.conf.get(conf, None) or os.environ.get(conf.upper().replace(".", "_"), default)
+
 
 @dataclass(frozen=True)
 class Settings:
     api_key: str = ""
     base_url: str = ""
-    model_name: str = "qwen-235b"
+    model_name: str = ""
     max_concurrency: int = 50
     temperature: float = 1.0
     data_dir: str = "data"
     minhash_threshold: float = 0.7
     num_perm: int = 128
+    #: Path of a byte-pair rank file whose tokens deduplication compares; words and signs without one.
+    dedup_vocabulary: str = ""
 
 
 def read_env_file(path: str) -> dict[str, str]:
@@ -34,6 +46,6 @@ def load_settings(data_dir: str = "data", temperature: float = 1.0, env: Mapping
     if "://" not in data_dir:
         Path(data_dir).mkdir(parents=True, exist_ok=True)
     return Settings(
-        api_key=e.get("OPENAI_API_KEY", ""), base_url=e.get("OPENAI_BASE_URL", ""), model_name=e.get("MODEL_NAME", "qwen-235b"),
-        max_concurrency=int(e.get("MAX_CONCURRENCY", "50")), temperature=temperature, data_dir=data_dir,
+        api_key=e.get("OPENAI_API_KEY", ""), base_url=e.get("OPENAI_BASE_URL", ""), model_name=e.get("MODEL_NAME", ""),
+        max_concurrency=int(e.get("MAX_CONCURRENCY", "50")), temperature=temperature, data_dir=data_dir, dedup_vocabulary=e.get("DEDUP_VOCABULARY", ""),
     )

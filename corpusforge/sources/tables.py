@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .remote import remote
+from .shared import delete
+
+#: The order of the source, carried through the stages: the document's place and the chunk's number in it.
+ORDER = T.StructType([T.StructField("doc_seq", T.StringType()), T.StructField("chunk_idx", T.IntegerType())])
 PARAGRAPH = T.StructType([T.StructField(c, T.StringType()) for c in ("paragraph", "title", "url", "section_heading", "source_type")])
 SELECTED = T.StructType([T.StructField(c, T.StringType()) for c in ("paragraph", "original_paragraph", "title", "url", "section_heading", "source_type")])
 INSTRUCTED = T.StructType([*SELECTED.fields, T.StructField("instruction", T.StringType())])
@@ -25,22 +30,58 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
+def with_order(schema: T.StructType) -> T.StructType:
+    """A stage's schema with the columns of the order behind it (null in files that lack them)."""
+    return T.StructType([*schema.fields, *ORDER.fields])
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """JSON lines in a folder, null fields written, letters unescaped; replaces what is there."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def replace_jsonl(df: DataFrame, path: str) -> None:
+    """Replaces the output of a stage, from which ``df`` may be read. The new one is written beside the old, the old is set
+    aside, the new takes its place, and only then the old goes: whenever it breaks off, ``recover`` finds a whole output."""
+    spark = df.sparkSession
+    write_jsonl(df, path + ".new")
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    delete(spark, path + ".old")
+    if fs.exists(p(path)):
+        fs.rename(p(path), p(path + ".old"))
+    fs.rename(p(path + ".new"), p(path))
+    delete(spark, path + ".old")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts a whole output back where ``replace_jsonl`` was broken off between its two renames."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p(path)):
+        for other in (path + ".new", path + ".old"):
+            if fs.exists(p(other)) and (other.endswith(".old") or fs.exists(p(other + "/_SUCCESS"))):
+                fs.rename(p(other), p(path))
+                return
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("overwrite")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
 
 
 def read_source(spark: SparkSession, path: str, text: str = "text", title: str = "id", url: str = "") -> DataFrame:
-    """(text, title, url) of a parquet source, only these columns read. A missing title or url column, or an empty name, gives
+    """(text, title, url, doc_seq) of a parquet source, only these columns read; ``doc_seq`` is the row's place (file and row
+    number). A path that begins with http is a remote dataset. A missing title or url column, or an empty name, gives
     ""; nulls stay null (never the word None); rows without text are left out. A missing text column is an error."""
-    df = spark.read.parquet(path)
+    if path.startswith(("http://", "https://")):
+        df = remote(spark, path, [c for c in (text, title, url) if c])
+        place = F.col("doc_seq")
+    else:
+        df = spark.read.parquet(path)
+        place = F.concat_ws("-", F.col("_metadata.file_name"), F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0"))
     pick = lambda c: F.col(f"`{c}`").cast("string") if c and c in df.columns else F.lit("")
-    return df.select(F.col(f"`{text}`").cast("string").alias("text"), pick(title).alias("title"), pick(url).alias("url")).where("text is not null")
+    return df.select(F.col(f"`{text}`").cast("string").alias("text"), pick(title).alias("title"), pick(url).alias("url"), place.alias("doc_seq")).where("text is not null")
 
 
 def source_path(spark: SparkSession, data_dir: str, remote: str) -> str:

@@ -1,6 +1,8 @@
 """Deduplication against the greedy loop, ordering, resuming, completion and cache, instruction checks, the pipeline end to end."""
 
 import hashlib
+import json
+import os
 import random
 
 import pytest
@@ -62,6 +64,43 @@ def test_dedup_of_one_hot_text(spark):
     assert kept.where("id % 3 = 0").collect()[0].id == 0 and kept.where("id % 3 = 0").count() == 1
 
 
+def test_dedup_tells_rows_of_one_place_apart_and_joins_nulls(spark):
+    rows = [(None, 1, "en by ved havet", "x"), (None, 1, "en by ved havet", "x"), (None, None, "helt andre ord om skove", "x"), (2, 1, "en by ved havet", "y"), (3, 1, "tredje slags tekst her nu", None), (3, 1, "fjerde sag uden lighed overhovedet", None)]
+    df = spark.createDataFrame(rows, "doc_seq int, chunk_idx int, t string, _row string")
+    kept, passes = dedup.without_near_duplicates(df, ["doc_seq", "chunk_idx"], ["t"])
+    assert sorted((r.t, r._row) for r in kept.na.fill("-").collect()) == [("en by ved havet", "x"), ("fjerde sag uden lighed overhovedet", "-"), ("helt andre ord om skove", "x"), ("tredje slags tekst her nu", "-")]
+    assert passes[0].count() == 4
+    df2 = spark.createDataFrame([(None, "a b c"), (1, "d e f")], "seq int, t string")
+    assert dedup.deduplicated(df2, ["seq"], "t").count() == 2
+    none, _ = dedup.without_near_duplicates(df.limit(0), ["doc_seq"], ["t"])
+    assert none.count() == 0
+
+
+def test_postprocess_leaves_one_of_identical_rows_and_the_first_of_near_ones(spark, tmp_path, capsys):
+    near = PROSE.replace("Byen", "Byeb")
+    rows = [(PROSE, "Hvad er der i den by, som er nævnt?", "2", 0), (PROSE, "Hvad er der i den by, som er nævnt?", "2", 0), (near, "Hvorfor er det helt andet end det, vi talte om i går?", "1", 0), ("Noget helt andet om skove og dyr. Rådyr lever der.", "Hvem bor i skoven, når vinteren kommer?", None, None), ("t", "Jeg beklager", None, None)]
+    df = spark.createDataFrame(rows, "paragraph string, instruction string, doc_seq string, chunk_idx int")
+    tables.write_jsonl(df.repartition(3), str(tmp_path / "with_instructions.jsonl"))
+    pipeline.run_postprocess(spark, settings.load_settings(str(tmp_path), 1.0, {}))
+    final = spark.read.parquet(str(tmp_path / "final.parquet")).collect()
+    assert sorted(r.messages[1].content for r in final) == sorted([near, rows[3][0]])  # place 1 goes before place 2
+    assert sorted(r.prompt_id for r in final) == ["prompt_0", "prompt_1"]
+    assert "5 pairs" in (out := capsys.readouterr().out) and "4 kept, 1 removed (20.0 %)" in out and "3 kept" not in out.split("answers")[1]
+
+
+def test_dedup_by_pieces_of_a_vocabulary(spark):
+    voc = settings.VOCABULARY
+    if not os.path.exists(voc):
+        pytest.skip("no vocabulary")
+    texts = ["Byen har en havn ved vandet", "byen har en havn ved vandet", "Byen har en havn ved vandet", "", None, "🙂 ok", "x" * 30000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    b, r = dedup.lsh_bands(0.7, 128)
+    sig = [tuple(map(tuple, dedup.signature(t, b * r, voc).reshape(b, r))) for t in texts]
+    want = [i for i in range(len(texts)) if not any(any(x == y for x, y in zip(sig[i], sig[j])) for j in range(i))]
+    assert sorted(x.i for x in dedup.first_of_their_kind(df, ["i"], "t", vocabulary=voc).collect()) == want
+    assert dedup.tokens("Byen byen", voc) != dedup.tokens("byen byen", voc) and dedup.tokens("a b a") == {"a", "b"}
+
+
 # ------------------------------------------------------------------ order
 
 def test_numbers_are_dense_and_random(spark):
@@ -71,6 +110,14 @@ def test_numbers_are_dense_and_random(spark):
     assert [r.id for r in sorted(rows, key=lambda r: r.row_no)] == want
 
 
+def test_numbers_over_many_ranges_and_without_a_place(spark):
+    assert [ordering.range_digits(n) for n in (0, 4_096_000_000, 4_096_000_001, 10**11, 10**15)] == [3, 3, 4, 5, 6]
+    d = spark.range(300).select("id", F.lit(None).cast("string").alias("place"))
+    rows = ordering.numbered(d, 42, "place", F.when(F.col("place").isNull(), F.col("id")), range_rows=0).collect()
+    assert sorted(r.row_no for r in rows) == list(range(300)) and [r.id for r in sorted(rows, key=lambda r: r.row_no)] != list(range(300))
+    assert ordering.numbered(d.limit(0), 42, "id").count() == 0
+
+
 def test_sample(spark):
     assert ordering.sampled(spark.range(100), 0, 1, "id").count() == 100
     a, b = ({r.id for r in ordering.sampled(spark.range(100), 10, s, "id").collect()} for s in (1, 2))
@@ -103,6 +150,13 @@ def test_completion_calls_once_and_never_again(spark, tmp_path):
     assert len(calls.read_text().split()) == 4  # en, to, intet; then intet again, as nothing came of it
 
 
+def test_requests_in_flight_are_bounded():
+    for most in (1, 7, 50, 1000):
+        for cores in (1, 8, 64, 4000):
+            tasks, each = completion.request_tasks(most, cores)
+            assert 1 <= tasks * each <= most
+
+
 def test_retries_give_up():
     waits = []
 
@@ -155,9 +209,75 @@ def test_verbatim_is_difflib(spark):
 
 # ------------------------------------------------------------------ sources, command line
 
+def test_shared_tables_are_deleted_and_need_a_shared_folder(spark, tmp_path):
+    from corpusforge.sources import shared
+
+    with shared.scope():
+        d = shared.materialise(spark.range(3), "x")
+        path = d._corpusforge_path
+        assert d.count() == 3 and os.path.isdir(path)
+    assert not os.path.exists(path)
+    d = shared.materialise(spark.range(3), "x")
+    shared.discard(d)
+    assert not os.path.exists(d._corpusforge_path)
+
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+            getConf = staticmethod(lambda: Session.conf)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Session)
+
+
+def test_a_broken_off_replacement_is_recovered(spark, tmp_path):
+    out = str(tmp_path / "s.jsonl")
+    df = spark.createDataFrame([("a",)], "paragraph string")
+    tables.replace_jsonl(df, out)
+    tables.replace_jsonl(spark.read.json(out).unionAll(df), out)
+    assert spark.read.json(out).count() == 2 and not os.path.exists(out + ".old") and not os.path.exists(out + ".new")
+    os.rename(out, out + ".old")
+    tables.write_jsonl(df, out + ".new")
+    tables.recover(spark, out)
+    assert spark.read.json(out).count() == 1  # the new one was whole
+    os.rename(out, str(tmp_path / "gone"))
+    tables.recover(spark, out)
+    assert spark.read.json(out).count() == 2  # else the old one
+
+
+def test_remote_dataset(spark, tmp_path):
+    import functools
+    import http.server
+    import threading
+
+    spark.createDataFrame([(1, "æble", None), (2, None, "u")], "id int, text string, link string").coalesce(1).write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([(3, "pære")], "id int, text string").coalesce(1).write.parquet(str(tmp_path / "b"))
+    part = {n: next((tmp_path / n).glob("*.parquet")).name for n in "ab"}
+    (tmp_path / "index.json").write_text(json.dumps([f"a/{part['a']}", f"b/{part['b']}"]))
+    handler = functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path))
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), handler) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        url = f"http://127.0.0.1:{server.server_port}"
+        got = tables.read_source(spark, url, "text", "id", "link").orderBy("doc_seq").collect()
+        assert [(r.text, r.title, r.url) for r in got] == [("æble", "1", None), ("pære", "3", None)]
+        assert tables.read_source(spark, f"{url}/b/{part['b']}", "text", "", "").count() == 1
+        with pytest.raises(Exception, match="no column"):
+            tables.read_source(spark, url, "link", "", "").count()
+        server.shutdown()
+
+
+def test_source_keeps_its_order(spark, tmp_path):
+    spark.createDataFrame([(i, f"t{i}") for i in range(30)], "id int, text string").coalesce(1).write.parquet(str(tmp_path / "s"))
+    rows = tables.read_source(spark, str(tmp_path / "s"), "text", "id", "").repartition(4).orderBy("doc_seq").collect()
+    assert [r.text for r in rows] == [f"t{i}" for i in range(30)]
+
+
 def test_settings_and_defaults(tmp_path):
     s = settings.load_settings(str(tmp_path / "d"), 0.3, {"OPENAI_API_KEY": "k", "MAX_CONCURRENCY": "7"})
-    assert (s.api_key, s.max_concurrency, s.model_name, s.temperature) == ("k", 7, "qwen-235b", 0.3) and (tmp_path / "d").is_dir()
+    assert (s.api_key, s.max_concurrency, s.model_name, s.temperature) == ("k", 7, "", 0.3) and (tmp_path / "d").is_dir()
     assert pipeline.resolve_defaults("", "d", "title", "url", False) == ("d", "title", "url")
     assert pipeline.resolve_defaults("ft", pipeline.DEFAULT_DATASET, "title", "url", False) == (pipeline.SUBSET_DATASET, "id", "")
     assert pipeline.resolve_defaults("ft", pipeline.DEFAULT_DATASET, "navn", "link", True) == (pipeline.DEFAULT_DATASET, "navn", "link")
