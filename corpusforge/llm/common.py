@@ -3,10 +3,7 @@ the light text analysis (words, languages, sentences) that several operators nee
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -14,29 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.settings import path_of  # noqa: F401 - used by the operators
+from ..sources.shared import discard, materialise, shared_dir  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, else (tests, one machine) a temporary one."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="corpusforge-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    return conf.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back, which cuts the lineage: a lost executor costs
-    only a re-read. Used where a result feeds several later steps or an iteration."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_rows(df: DataFrame, keys: list[str], text_cols: list[str], fn: Callable[..., tuple], schema: str) -> DataFrame:
     """Arrow-batched row map: ``fn(*texts)`` gives the tuple of new columns of one row (None: the row is dropped);
     ``keys`` are passed through unchanged as Arrow columns. ``schema`` is the DDL of the new columns."""
@@ -182,8 +165,3 @@ def sentences(text: str) -> list[str]:
         if s:
             out.append(s)
     return out
-
-
-def path_of(spark: SparkSession, default: str, conf: str) -> str:
-    """A path that is a parameter: the session's ``conf``, else the environment variable of that name, else ``default``."""
-    return spark.conf.get(conf, None) or os.environ.get(conf.upper().replace(".", "_"), default)

@@ -1,7 +1,7 @@
 """Problem 3: defective instruction-response pairs, with the type of the defect.
 
-Method: a refusal grammar over the first sentences of either side; greedy string tiling of the answer with the
-instruction for copies; script and function-word checks for the language, with the language an instruction may ask for;
+Method: a refusal grammar over all sentences of either side; greedy string tiling of the answer with the instruction for
+copies, with rolling hashes and marked tokens on both sides; script and function-word checks for the language, with the language an instruction may ask for;
 a pushdown parser of quotations, brackets, fences and markup, joined with the evidence of the ending, for truncation.
 
 A null, blank or stand-in answer is ``empty``; a null instruction is read as an empty one. Empty, refusal and copy exclude
@@ -15,6 +15,7 @@ import unicodedata
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,14 +56,26 @@ AFTER = re.compile(
     r"försök|har du|fråga|du kan|jag hjälper|versuch|haben sie|hast du|fragen|frag|stellen)",
     re.I,
 )
-MAX_REFUSAL_WORDS = 45
+#: What a refusal declines to do. A core that names none of it ("I don't have") may open any sentence.
+TASK = re.compile(
+    r"\b(?:hjælpe|svare|besvare|give|skrive|udføre|opfylde|imødekomme|bistå|lave|generere|formulere|udtale|assistere|levere|løse|behandle|takke nej|afvise|afslå|melde pas|sige nej|undlade|"
+    r"help|assist|answer|respond|reply|comply|fulfil+|provide|write|do that|do this|decline|hjälpa|svara|besvara|avböja|tacka nej|helfen|beantworten|antworten|schreiben|ablehnen)\b",
+    re.I,
+)
+#: Words of a speaker who goes on about the refusal (reasons, offers), and of one who is only quoted.
+ABOUT = re.compile(
+    r"\b(?:jeg|mig|min|mit|mine|du|dig|din|dit|dine|spørgsmål\w*|opgave\w*|anmodning\w*|forespørgsel\w*|oplysninger|retningslinjer\w*|sprogmodel\w*|assistent\w*|i|my|me|you|your|question|request|task|guidelines|"
+    r"information|jag|fråga\w*|uppgift\w*|ich|mich|mein\w*|frage\w*|aufgabe\w*)\b",
+    re.I,
+)
+QUOTED = re.compile(r"[«»\"“”]\s*,?\s*(?:sagde|siger|skrev|lød|svarede|said|says|sade|sagte)\b|\b(?:sagde|svarede|skrev|said|sade|sagte) (?:han|hun|de|jeg|he|she|they|hon|er|sie)\b", re.I)
 
 
 def is_refusal(text: str) -> bool:
-    """Openers, then the core of a refusal, then at most an offer or a reason, in a short text."""
+    """Openers, then the core of a refusal; then every sentence that follows is read, however many there are. A core that
+    names the task declines it, unless the rest mostly tells something of its own (sentences that neither offer nor
+    give reasons). A core that names no task, or one without an opener, needs a rest of offers and reasons only."""
     t = text.strip(" \t\r\n\"'»«“”")
-    if len(t) > 500 or len(t.split()) > MAX_REFUSAL_WORDS:
-        return False
     at = 0
     for _ in range(4):
         m = OPENER.match(t, at)
@@ -75,8 +88,16 @@ def is_refusal(text: str) -> bool:
         m = CORE.match(t, at + m.end()) if m else None
         if not m or at == 0:
             return False
-    tail = sentences(t[m.end():])
-    return all(AFTER.match(x) or len(x.split()) <= 3 for x in tail[1:])
+    parts = sentences(t[m.end():])
+    first, rest = (parts[0], parts[1:]) if parts else ("", [])
+    if QUOTED.search(first):
+        return False
+    if all(AFTER.match(x) or len(x.split()) <= 3 for x in rest) and len(first.split()) <= 40:
+        return True
+    if not TASK.search(f"{m.group()} {first}") or len(first.split()) > 25:
+        return False
+    own = [x for x in rest if not (AFTER.match(x) or len(x.split()) <= 3 or ABOUT.search(x) or CORE.search(x))]
+    return 2 * sum(map(len, own)) <= sum(map(len, rest)) or at > 0 and not re.search(r"\b(?:men|but|aber)\b[^.!?]*:?\s*$", first, re.I)
 
 
 #: Names of languages in instructions that ask for one.
@@ -214,45 +235,101 @@ LABEL = re.compile(r"^\s*(?:format\s+[a-c]\s*[-:—–]\s*|(?:[^\W\d_][\w.]{0,14
 _TOKEN = re.compile(r"\w+")
 
 
+_BASE = 0x9E3779B97F4A7C15 | 1
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE, np.uint64)]), dtype=np.uint64)
+
+
+def _windows(x: np.ndarray, s: int, p: np.ndarray) -> np.ndarray:
+    """Karp-Rabin hashes of all windows of ``s`` tokens, modulo 2^64."""
+    h = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * p[: len(x)], dtype=np.uint64)])
+    return (h[s:] - h[:-s]) * p[len(p) - 1 - np.arange(len(x) - s + 1)]
+
+
+def string_tiles(a: list[str], b: list[str], least: int = 3) -> list[bool]:
+    """Greedy string tiling: which tokens of ``b`` are in a tile. The longest common run of free tokens is a tile and is marked
+    on both sides, then the next longest, down to ``least`` tokens (or all of ``a``, if that is less). As a copy may repeat
+    its source, ``a`` stands there as often as it goes into ``b``, and anew while there is something to tile. The longest length
+    is found by bisection over window hashes, whose hits are compared token by token."""
+    free = np.ones(len(b), bool)
+    least = min(least, len(a))
+    if not a or not b:
+        return [False] * len(b)
+    number: dict[str, int] = {}
+    one = [number.setdefault(w, len(number) + 1) for w in a]
+    y = np.array([number.get(w, 0) for w in b], np.uint64)
+    y[y == 0] = np.arange(1, 1 + int((y == 0).sum()), dtype=np.uint64) + np.uint64(1 << 40)  # tokens that a lacks meet nothing
+    copies = -(-len(b) // len(a))
+    source = np.tile(np.array([*one, 0], np.uint64), copies)
+    ends = source == 0
+    source[ends] = np.arange(copies, dtype=np.uint64) + np.uint64(1 << 41)
+    p = _powers(len(source) + len(b) + 1)
+    gone = 1 << 42
+    while True:
+        x, before = source.copy(), int(free.sum())
+        top = len(a)
+        while top >= least:
+            low, high = least - 1, min(top, len(b))  # a common run of ``low`` free tokens is known to exist
+            while low < high:
+                mid = (low + high + 1) // 2
+                low, high = (mid, high) if np.isin(_windows(y, mid, p), _windows(x, mid, p)).any() else (low, mid - 1)
+            if low < least:
+                break
+            at: dict[int, list[int]] = {}
+            hx, hy = _windows(x, low, p), _windows(y, low, p)
+            for i in np.flatnonzero(np.isin(hx, hy))[::-1].tolist():
+                at.setdefault(int(hx[i]), []).append(i)
+            used_x, used_y = np.zeros(len(x), bool), 0
+            tiled = False
+            for j in np.flatnonzero(np.isin(hy, hx)).tolist():
+                stack = at.get(int(hy[j]))
+                while j >= used_y and stack:
+                    i = stack.pop()
+                    if not used_x[i] and not used_x[i + low - 1] and (x[i:i + low] == y[j:j + low]).all():
+                        used_x[i:i + low] = True
+                        free[j:j + low] = False
+                        used_y, tiled = j + low, True
+            if tiled:
+                x[used_x] = np.arange(int(used_x.sum()), dtype=np.uint64) + np.uint64(gone)
+                y[~free] = np.arange(len(b), dtype=np.uint64)[~free] + np.uint64(1 << 43)
+                gone += len(x)
+                top = low
+            else:
+                top = low - 1  # hashes that met by chance
+        if int(free.sum()) == before:
+            return [not f for f in free.tolist()]
+
+
 def tiled_share(a: list[str], b: list[str], least: int = 3) -> float:
-    """Share of the tokens of ``b`` covered by greedy string tiling with ``a``: longest common runs of ``least`` or more
-    first; tokens of ``a`` may serve again, as a copy may repeat the instruction."""
-    at: dict[str, list[int]] = {}
-    for i, w in enumerate(a):
-        at.setdefault(w, []).append(i)
-    runs = []
-    for j in range(len(b)):
-        best = 0
-        for i in at.get(b[j], ()):
-            k = 0
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
-                k += 1
-            best = max(best, k)
-        if best >= least or best and best == len(a):
-            runs.append((best, j))
-    free = [True] * len(b)
-    covered = 0
-    for n, j in sorted(runs, key=lambda r: (-r[0], r[1])):
-        if all(free[j:j + n]):
-            covered += n
-            free[j:j + n] = [False] * n
-    return covered / len(b)
+    """Share of the tokens of ``b`` in tiles of ``a``."""
+    return sum(string_tiles(a, b, least)) / len(b)
+
+
+#: Tokens in a row outside the tiles that make a statement of the answer's own.
+OWN_WORDS = 4
+
+
+_ANNOUNCED = re.compile(r"[^.!?\n:]+:\s")
 
 
 def is_copy(instruction: str, answer: str, share: float = 0.85) -> bool:
-    """The answer, without a label before it, is covered by tiles of the instruction."""
+    """The answer is covered by tiles of the instruction, and has no run of OWN_WORDS tokens or more outside them. What
+    stands before a copy and only announces it (a label, a sentence up to its colon) is left out."""
     a = _TOKEN.findall(instruction.lower())
-    if len(answer) > 12 * len(instruction) + 200:
-        return False
     known = set(a)
-    end = _TOKEN.findall(answer[-90:].lower())[1:]
-    if sum(w in known for w in end) < 0.6 * len(end):
-        return False  # it ends in something of its own
-    for t in (answer, LABEL.sub("", answer, count=1)):
-        b = _TOKEN.findall(t.lower())
-        if not b or len(b) < min(3, len(a)):
-            continue
-        if sum(w in known for w in b) >= share * len(b) and tiled_share(a, b) >= share:
+    starts = {0, *(m.end() for m in (LABEL.match(answer), _ANNOUNCED.match(answer)) if m)}
+    for at in sorted(starts):
+        b = _TOKEN.findall(answer[at:].lower())
+        if not b or len(b) < min(3, len(a)) or sum(map(known.__contains__, b)) < share * len(b):
+            continue  # tiles hold no token that the instruction lacks
+        tiles = string_tiles(a, b)
+        run = longest = 0
+        for t in tiles:
+            run = 0 if t else run + 1
+            longest = max(longest, run)
+        if sum(tiles) >= share * len(tiles) and longest < OWN_WORDS:
             return True
     return False
 
@@ -281,9 +358,9 @@ def _before(no: str) -> str:
 def list_left_open(text: str) -> bool:
     """The last entry of a list has its mark but no text, or only announces what it is to hold."""
     lines = [l for l in text.rstrip().split("\n") if l.strip()]
-    entries = [m for l in lines[-40:] if (m := _ENTRY.match(l)) and (m["sign"] is None or m["rest"][:1] in ("", " ", "\t"))]
     last = _ENTRY.match(lines[-1]) if lines else None
-    if last and len(entries) >= 2:
+    entries = [m for l in lines if (m := _ENTRY.match(l)) and (m["sign"] is None or m["rest"][:1] in ("", " ", "\t"))] if last else []
+    if len(entries) >= 2:
         kin = [m for m in entries[:-1] if (m["sign"], m["by"]) == (last["sign"], last["by"])]
         if kin and (not last["no"] or any(m["no"] and m["no"].lower() == _before(last["no"].lower()) for m in kin)):
             if not last["rest"].strip() or last["rest"].rstrip().endswith(":"):

@@ -68,7 +68,7 @@ def count_tokens(text: str | None, path: str = VOCABULARY) -> int:
 
 
 def vocabulary_path(spark: SparkSession) -> str:
-    return path_of(spark, VOCABULARY, "corpusforge.tokenizer")
+    return path_of(spark, "corpusforge.tokenizer", VOCABULARY)
 
 
 def text_hash(c: Column) -> list[Column]:

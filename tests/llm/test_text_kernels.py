@@ -203,6 +203,74 @@ def test_tiles_are_common_runs(a, b):
     assert share <= coverable / len(b) + 1e-9 or len(a) == 1
 
 
+def plain_tiles(a, b, least):
+    """Greedy string tiling by definition, with the source standing there as often as it may be wanted."""
+    x, y, used = [], list(b), [False] * len(b)
+    for k in range(len(b) + 1):
+        x += [*a, ("end", k)]
+    free = [True] * len(x)
+    while True:
+        best, hits = max(min(least, len(a)) - 1, 0), []
+        for i in range(len(x)):
+            for j in range(len(y)):
+                k = 0
+                while i + k < len(x) and j + k < len(y) and free[i + k] and not used[j + k] and x[i + k] == y[j + k]:
+                    k += 1
+                if k > best:
+                    best, hits = k, [(i, j)]
+                elif k == best and k and k >= min(least, len(a)):
+                    hits.append((i, j))
+        hits = [h for h in hits if best >= min(least, len(a))]
+        done = False
+        for i, j in sorted(hits, key=lambda h: (h[1], h[0])):
+            if all(free[i:i + best]) and not any(used[j:j + best]):
+                free[i:i + best], used[j:j + best], done = [False] * best, [True] * best, True
+        if not done:
+            return used
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=7), st.lists(st.sampled_from("abcd"), min_size=1, max_size=9), st.integers(1, 3))
+def test_tiling_is_greedy_string_tiling(a, b, least):
+    assert sum(pairs.string_tiles(a, b, least)) == sum(plain_tiles(a, b, least))
+
+
+def test_tiling_shortens_runs_and_is_fast():
+    import time
+
+    assert pairs.tiled_share("1 2 3 4 5 9 3 4 5 6 7 8".split(), "1 2 3 4 5 6 7 8".split(), 2) == 1.0
+    r = random.Random(1)
+    w = [str(r.randint(0, 60)) for _ in range(8000)]
+    for a, b in ((["ha"] * 5, ["ha"] * 10_000), (["ha"] * 10_000, ["ha"] * 10_000), (w[:4000], w[4000:]), (["ha", "ho"] * 400, ["ho"] * 9000)):
+        began = time.process_time()
+        pairs.tiled_share(a, b)
+        assert time.process_time() - began < 0.5
+
+
+ASK = "Fortæl om den store by ved havet."
+
+
+@pytest.mark.parametrize(
+    ("q", "a", "want"),
+    [
+        (ASK, (ASK + " ") * 20, ["copy"]), (ASK, ASK * 40, ["copy"]), (ASK, (ASK + " ") * 6 + "Fortæl om den store by ved kysten.", ["copy"]), (ASK, "Du bad mig om at svare på det følgende spørgsmål: " + ASK, ["copy"]), (ASK, (ASK + " ") * 9 + "Den ligger i det nordlige Jylland.", []),
+        (ASK, "Beklager, men det kan jeg ikke svare på. " + "Det er, fordi jeg ikke har oplysninger om dit emne i dag. " * 8, ["refusal"]), (ASK, "I'm sorry, but I can't help with that. " + "The question asks for information I do not have. " * 9, ["refusal"]),
+        (ASK, "Jeg kan ikke hjælpe dig, sagde hun. Byen var mørk, og der var ingen på gaden. Han gik hjem til sit hus.", []), (ASK, "Jeg kan ikke give en bedre beskrivelse af byen end den, som står i bogen. " + PROSE * 3, []),
+    ],
+)
+def test_copies_and_refusals_of_any_length(q, a, want):
+    assert [d for _, d in pairs.defects(1, q, a, None)] == want
+
+
+def test_parser_and_tiling_decide_rows(monkeypatch):
+    cases = [("Sådan gør du:\n```\nx = 1.\n", "truncated"), ("Byen (som er stor. Den er rig.", "truncated"), ("Køb disse:\n1. Smør.\n2. Brød.\n3.", "truncated"), ("Fortæl om den store by! Fortæl om den store by", "copy")]
+    kinds = lambda: [[d for _, d in pairs.defects(1, "Fortæl om den store by.", a, None)] for a, _ in cases]
+    assert kinds() == [[k] for _, k in cases]
+    monkeypatch.setattr(pairs, "left_open", lambda t: [])
+    monkeypatch.setattr(pairs, "string_tiles", lambda a, b, least=3: [False] * len(b))
+    assert all(k not in got for got, (_, k) in zip(kinds(), cases))
+
+
 def test_censored_fit_recovers_the_distribution():
     import math
 
