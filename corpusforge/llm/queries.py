@@ -108,7 +108,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_levels(spark: SparkSession, d: str) -> DataFrame:
     r = readability.reading_levels(table(spark, d, "documents"), table(spark, d, "reader_levels"))
-    return r.select("doc_id", "words", "sentences", "mean_sentence", "mean_word", "long_share", "cover", "grade", "level")
+    return r.select("doc_id", "words", "sentences", "mean_sentence", "mean_word", "long_share", "lang", *readability.COVERS, "grade", "level")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -267,10 +267,34 @@ def test_coverage_ranks_are_exact_beyond_the_broadcast(spark, top):
     docs = [(i, " ".join(vocabulary[int(r.paretovariate(0.7)) % 300] for _ in range(r.randint(0, 60)))) for i in range(120)]
     n = collections.Counter(w for _, t in docs for w in t.split())
     rank = {w: sum(m >= k for m in n.values()) for w, k in n.items()}
-    got = {x.doc_id: x.cover for x in readability.profiles(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), top=top).collect()}
+    got = {x.doc_id: x for x in readability.profiles(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), shares=(0.5, 0.9), top=top).collect()}
     for i, t in docs:
         ranks = sorted(rank[w] for w in t.split())
-        assert got[i] == (ranks[-(-len(ranks) * 9 // 10) - 1] if ranks else None)
+        assert got[i].cover90 == (ranks[-(-len(ranks) * 9 // 10) - 1] if ranks else None)
+        assert got[i].cover50 == (ranks[-(-len(ranks) // 2) - 1] if ranks else None)
+
+
+def test_ranks_are_counted_by_language(spark):
+    da, en = "Det er en by, og den er ikke stor. ", "The town is not large, and it was there. "
+    docs = [(1, da * 3 + "havn"), (2, da + "havn kirke"), (3, en * 40 + "harbour")]
+    ranks = readability.word_ranks(readability.word_counts(spark.createDataFrame(docs, "doc_id long, text string"), "text")).collect()
+    n = {l: collections.Counter() for l in ("da", "en")}
+    for i, t in docs:
+        n["en" if i == 3 else "da"].update(readability.word_list(t))
+    assert {(r.lang, r.word): r.rank for r in ranks} == {(l, w): sum(m >= k for m in c.values()) for l, c in n.items() for w, k in c.items()}
+
+
+def test_the_coverage_rank_decides_levels(spark, monkeypatch):
+    r = random.Random(9)
+    few, many = ["bager", "havet", "sofie", "katte"], ["".join(r.choice("bdfgklmn") + r.choice("aeiou") for _ in range(2)) + "t" for _ in range(4000)]
+    text = lambda words: " ".join(f"Og {r.choice(words)} {r.choice(words)} {r.choice(words)} det {r.choice(words)} {r.choice(words)} {r.choice(words)}." for _ in range(12))
+    docs = [(i, text(few if i % 2 else many)) for i in range(60)]
+    g = spark.createDataFrame([(i, "r", 2 if i % 2 else 9, 1) for i in range(40)], "doc_id long, rater string, grade int, rated_at int")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    level = lambda: {x.doc_id: x.level for x in readability.reading_levels(df, g).collect()}
+    assert all(v == ("easy" if i % 2 else "hard") for i, v in level().items())
+    monkeypatch.setattr(readability, "TERMS", {k: e for k, e in readability.TERMS.items() if k not in ("core", "rank")})
+    assert sum(v == ("easy" if i % 2 else "hard") for i, v in level().items()) < 20
 
 
 # ------------------------------------------------------------------ all
