@@ -61,10 +61,42 @@ def test_sketches_are_near_exact_quantiles_and_merge(spark):
     df = df.select("lang", "words", *[F.col("x").alias(s) for s in quality.STATS])
     q = {r.lang: r for r in quality.references(df.repartition(8), least=1).collect()}
     for k, keep in (("da", lambda i: i % 3), ("en", lambda i: not i % 3)):
-        exact = np.quantile([x for i, x in enumerate(v) if keep(i)], [0.25, 0.5, 0.75])
+        exact = np.quantile([x for i, x in enumerate(v) if keep(i) and x >= quality.MAINLY], [0.1, 0.5, 0.9])  # x stands for the share of sentences too
         assert np.allclose(q[k].q_mean_word_len, exact, rtol=0.06)
     whole = {r.lang: r for r in quality.references(df, least=10**9).collect()}
-    assert np.allclose(whole["da"].q_mean_word_len, np.quantile(v, [0.25, 0.5, 0.75]), rtol=0.06)
+    assert np.allclose(whole["da"].q_mean_word_len, np.quantile(v[v >= quality.MAINLY], [0.1, 0.5, 0.9]), rtol=0.06)
+
+
+def stats_rows(spark, rows):
+    """Statistics of made-up texts: (paragraph_id, lang, {name: value}), the rest as in ordinary prose."""
+    base = {n: 0.0 for n in quality.NAMES} | {c: q[1] for c, q in quality.ORDINARY.items()} | {"words": 60, "chars": 400, "lines": 3}
+    full = [(i, *[lang if n == "lang" else False if n == "is_json" else (int if n in ("words", "chars", "lines", "longest_word", "crumbs") else float)((base | v)[n]) for n in quality.NAMES]) for i, lang, v in rows]
+    return spark.createDataFrame(full, "id long, " + quality.SCHEMA)
+
+
+def test_the_cut_lies_where_the_shares_are_emptiest(spark):
+    r = random.Random(5)
+    for low, high in ((0.35, 0.95), (0.05, 0.6)):
+        rows = [(i, "da", {"sentence_share": min(1.0, max(0.0, r.gauss(low if i % 2 else high, 0.04)))}) for i in range(3000)]
+        stats = stats_rows(spark, rows)
+        cut = {x.lang: x.cut for x in quality.references(stats).collect()}["da"]
+        assert low + 0.1 < cut < high - 0.1
+        kinds = {x.id: x.kind for x in quality.verdict(quality.z_scores(stats, quality.references(stats))).collect()}
+        assert all((kinds[i] == "prose") == (i % 2 == 0) for i, *_ in rows)
+    assert {x.cut for x in quality.references(stats.limit(0)).collect()} == {quality.MAINLY}
+
+
+def test_the_sketches_of_a_language_decide_its_tails(spark):
+    r = random.Random(6)
+    rows = [(i, "da", {"pair_share": r.gauss(0.06, 0.03)}) for i in range(2000)] + [(10_000 + i, "en", {"pair_share": r.gauss(0.5, 0.1)}) for i in range(2000)]
+    rows += [(1, lang, {"sentence_share": 0.0, "pair_share": 0.5}) for lang in ("da",)] + [(2, "en", {"sentence_share": 0.0, "pair_share": 0.5})]
+    stats = stats_rows(spark, [x for x in rows if x[0] not in (1, 2)] + [(50_001, *rows[-2][1:]), (50_002, *rows[-1][1:])])
+    refs = quality.references(stats)
+    got = {x.id: x.kind for x in quality.verdict(quality.z_scores(stats, refs)).where("id > 50000").collect()}
+    assert got == {50_001: "junk", 50_002: "list"}  # half of all word pairs repeated: usual in one language, not in the other
+    flat = refs.withColumns({c: F.lit(None).cast("array<double>") for c in refs.columns if c.startswith("q_")})
+    none = {x.id: x.kind for x in quality.verdict(quality.z_scores(stats, flat)).where("id > 50000").collect()}
+    assert none != got
 
 
 # ------------------------------------------------------------------ 2 and 3

@@ -118,7 +118,7 @@ def test_markup_never_fails(text):
 
 @pytest.mark.parametrize(
     ("text", "share"),
-    [(PROSE, 1.0), ("- smør\n- brød\n- ost og skinke", 0.0), ("a;b;c\n1;2;3", 0.0), ("Hvem kom? Det gjorde hun, og så gik vi hjem igen.", 1.0), ("", 0.0)],
+    [(PROSE, 1.0), ("a) den gamle bro ved havnen.\n- en ny vej langs med åen.\n3) skolen i den store by.", 0.0), ("1) Det er en by, og den er stor.\n2) Der er en havn i den gamle by.", 1.0), ("En by</div> som er stor, ligger<br/> ved vandet i det gamle land.", 1.0), ("- smør\n- brød\n- ost og skinke", 0.0), ("a;b;c\n1;2;3", 0.0), ("Hvem kom? Det gjorde hun, og så gik vi hjem igen.", 1.0), ("", 0.0)],
 )
 def test_sentence_share(text, share):
     s = dict(zip([c.split()[0] for c in quality.SCHEMA.split(", ")], quality.text_stats(text)))
