@@ -77,7 +77,9 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
         before = re.findall(r"[^\W\d_]+", SPACED.split(tail)[0][-60:])
         if before and function_word(before[-1]):
             return 5.0
-        return 4.0 if original and follow is None and original.rstrip() != t else -6.0
+        if original:
+            return 4.0 if follow is None and original.rstrip() != t else -6.0
+        return 3.5 if "..." in SPACED.search(tail).group() else -6.0  # an author's pause is one sign, a machine's cut three stops
     if HYPHEN.search(tail):
         return 6.0
     rest = follow.split("\n", 1)[0].strip(BLANKS) if follow is not None else ""
@@ -114,7 +116,8 @@ def ending_evidence(text: str | None, original: str | None = None) -> float:
         if len(ws) <= 3 and not closed_line:
             return 3.0
         caps = sum(x[:1].isupper() or x[:1].isdigit() for x in ws)
-        if caps * 5 >= 2 * len(ws) and not function_word(ws[-1]) or ws[-1][:1].isdigit() and len(ws) >= 4 or line.isupper():
+        names = caps * 5 >= 3 * len(ws) and not function_word(ws[-1]) or ws[-1][:1].isdigit() and len(ws) >= 4 and caps * 5 >= 2 * len(ws)
+        if names or line.isupper():
             return -3.0 if closed_line else -2.0
         if closed_line:
             return -3.0

@@ -1,10 +1,12 @@
 """Problem 5: text values cut off, by a field limit or elsewhere, and how often each source truncates.
 
-Method: lengths (characters and bytes of the value, characters of the text it was taken from) are counted per source; a
+Method: lengths (characters and bytes of the value, and of the text it was taken from if that is given) are counted per source; a
 length far more frequent than its neighbours is a candidate limit. Per source a right-censored log-normal distribution is fitted
 by maximum likelihood (EM over sufficient statistics, so a source is one small row group however many values it has),
 the values above expectation at a limit being the censored ones. A value at a limit gets the posterior of being
-censored, any other the base rate; its log-odds are added to the evidence of the ending (endings.py).
+censored, any other the base rate; its log-odds are added to the evidence of the ending (endings.py). So an ending without a
+stop that may as well be an entry, a name or a heading is a cut at a limit and whole elsewhere, while a finished
+sentence is whole even there, and a word that breaks off is cut anywhere.
 
 Null and blank values are not cut. Redelivered rows count once.
 """
@@ -109,8 +111,9 @@ def limits(m: DataFrame) -> DataFrame:
     return rows.groupBy("source", "unit").applyInPandas(fit_censored, FIT)
 
 
-def truncated(docs: DataFrame, key: str = "selected_id", text: str = "paragraph", original: str | None = "original_paragraph", source: Column | None = None) -> DataFrame:
-    """The operator: (key, source, chars, evidence, posterior, log_odds, cut), one row for each key."""
+def truncated(docs: DataFrame, key: str = "selected_id", text: str = "paragraph", original: str | None = None, source: Column | None = None) -> DataFrame:
+    """The operator: (key, source, chars, evidence, posterior, log_odds, cut), one row for each key. The values alone are read;
+    ``original`` may name a column with the texts they were taken from, whose limits and continuations count then too."""
     src = plain_source(F.col("source_type"), "knowledge") if source is None else source
     m = materialise(measures(docs, key, text, original, src), "endings")
     lim = materialise(limits(m), "limits").select("source", "unit", "length", "posterior")

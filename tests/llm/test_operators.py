@@ -189,6 +189,28 @@ def test_truncation_with_a_field_limit(spark):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+def test_the_posterior_of_a_limit_decides_endings_without_a_stop(spark):
+    r = random.Random(4)
+    entry = lambda: "- " + " ".join(r.choice(["gamle", "bro", "havn", "skole", "kirke", "torv"]) for _ in range(r.randint(3, 9)))
+    rows, cut = [], set()
+    for i in range(1500):
+        t = "Det drejer sig om:\n" + "\n".join(entry() for _ in range(r.randint(2, 16)))
+        if len(t) > 300:
+            t = t[:300].rstrip()
+            t += "x" * (300 - len(t))
+            cut.add(i)
+        rows.append((i, t, "news"))
+    rows += [(5000 + i, PROSE + " " + "Der er en by. " * i, "news") for i in range(300)]
+    df = spark.createDataFrame(rows, "selected_id long, paragraph string, source_type string")
+    got = truncation.truncated(df).collect()
+    found = {x.selected_id for x in got if x.cut}
+    without = {x.selected_id for x in got if x.evidence + np.log(truncation.BASE_RATE / (1 - truncation.BASE_RATE)) > 0}
+    at_limit = {i for i, t, _ in rows if i < 5000 and len(t) == 300}
+    assert cut <= at_limit and found == at_limit and len(found - without) > 0.05 * len(rows)
+    whole = truncation.truncated(df.withColumn("whole", F.col("paragraph")), original="whole").where("selected_id >= 5000 and cut").count()
+    assert whole == 0
+
+
 # ------------------------------------------------------------------ 6
 
 def test_budget_counts_each_passage_once(spark):
