@@ -1,11 +1,14 @@
 """Problem 2: markup residue (HTML, Markdown, wiki, LaTeX) in texts, and its conversion to clean text.
 
-Method: minimum-cut labelling. Constructs and the text runs between them are the nodes of a small graph for each text.
-The costs of a classifier (how surely is this construct markup of its language) are the terminal capacities;
-neighbouring nodes are joined by smoothness edges, stronger between constructs of one language, and so are nodes under
-one parent element (list items, table rows). A maximum flow separates residue (sink side) from content (source side), so
-that a doubtful sign such as ``*word*`` or a lone pipe row follows its surroundings. Constructs on the sink side are then
-rewritten: headings become lines of their own, entries ``- ``, cells tabs, code indented lines, formulas linear text.
+Method: minimum-cut labelling. Constructs, the text runs between them and places of machine noise are the nodes of a small
+graph for each text. The costs of a classifier are the terminal capacities: for a construct, a first setting of its kind and
+how often the kind stands in text rather than in noise, fitted on a bounded sample of the corpus; for a text run, how
+surely it is text by its function words. Neighbouring nodes are joined by smoothness edges, stronger between
+constructs of one language; DOM proximity joins the children of one element (list items, table rows) and a child with its
+element; a place of noise holds what stands in it. A maximum flow separates residue (sink side) from content (source side),
+so that a doubtful sign such as ``*word*`` or a lone pipe row follows its surroundings, and the signs of a log or of JSON
+stay what they are. Constructs on the sink side are then rewritten: headings become lines of their own (their levels are
+kept beside the text), entries ``- `` or their number, cells tabs, code indented lines, formulas linear text.
 
 Null and blank texts have no markup and stay as they are; texts without any sign are not sent to Python.
 """
@@ -13,6 +16,7 @@ Null and blank texts have no markup and stay as they are; texts without any sign
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import deque
 
@@ -128,7 +132,11 @@ class Node:
         self.start, self.end, self.lang, self.kind, self.weight, self.parent = start, end, lang, kind, weight, -1
 
 
-def constructs(text: str) -> list[Node]:
+#: Costs by (language, kind).
+Costs = dict[tuple[str, str], float]
+
+
+def constructs(text: str, costs: Costs | None = None) -> list[Node]:
     """Candidate constructs in order, without overlaps (an earlier pattern of _SPEC takes the span; emphasis and links may
     hold others and are kept with them)."""
     taken = bytearray(len(text))
@@ -144,7 +152,7 @@ def constructs(text: str) -> list[Node]:
             s, e = m.span()
             if e == s or taken[s] or taken[e - 1] or kind == "entity" and html.unescape(m.group()) == m.group():
                 continue
-            out.append(Node(s, e, lang, kind, weight))
+            out.append(Node(s, e, lang, kind, weight if costs is None else costs.get((lang, kind), weight)))
             if kind in ("strong", "em", "em_", "quote", "strike", "head", "piped", "row", "link", "arg"):
                 taken[s] = taken[e - 1] = 1
             else:
@@ -153,136 +161,193 @@ def constructs(text: str) -> list[Node]:
     return out
 
 
+#: Elements without content, and elements that the next one of their kind closes.
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_CLOSES = {"li": ("li",), "p": ("p",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
+_NAME = re.compile(r"</?([a-zA-Z0-9]+)")
+
+
 def _parents(text: str, nodes: list[Node]) -> None:
-    """Parent element of each HTML node, by a stack of open tags (and of LaTeX environments, wiki tables)."""
+    """Parent element of each node, by a stack of open tags (and of LaTeX environments). A closing tag that closes nothing is
+    passed over; an element whose end may be left out ends where the next one begins."""
     stack: list[tuple[str, int]] = []
+    open_: dict[str, int] = {}
+
+    def pop() -> str:
+        k, _ = stack.pop()
+        open_[k] -= 1
+        return k
+
     for i, n in enumerate(nodes):
-        n.parent = stack[-1][1] if stack else -1
         g = text[n.start:n.end]
-        if n.lang == "html" and n.kind == "tag":
-            name = re.match(r"</?([a-zA-Z0-9]+)", g).group(1).lower()
+        name = _NAME.match(g).group(1).lower() if n.lang == "html" and n.kind == "tag" else ""
+        if name and not g.startswith("</"):
+            while stack and stack[-1][0] in _CLOSES.get(name, ()):
+                pop()
+        n.parent = stack[-1][1] if stack else -1
+        if name:
             if g.startswith("</"):
-                while stack:
-                    k, _ = stack.pop()
-                    if k == name:
-                        break
-            elif not g.endswith("/>") and name not in ("br", "img", "hr", "input", "meta", "link", "wbr", "col", "source"):
+                if open_.get(name):
+                    while pop() != name:
+                        pass
+                    n.parent = stack[-1][1] if stack else -1
+            elif not g.endswith("/>") and name not in _VOID:
                 stack.append((name, i))
+                open_[name] = open_.get(name, 0) + 1
         elif n.lang == "latex" and n.kind == "env":
             if g.startswith("\\begin"):
-                stack.append(("env", i))
-            elif stack and stack[-1][0] == "env":
-                stack.pop()
-
-
-#: Smoothness of the cut: between neighbours of one language, of different languages, and under one parent.
-SAME, OTHER, PARENT = 1.2, 0.15, 0.8
-#: Cost of calling a text run residue, and of calling a construct residue (what evidence has to outweigh).
-CONTENT, PRIOR = 6.0, 3.0
+                stack.append(("\\env", i))
+                open_["\\env"] = open_.get("\\env", 0) + 1
+            elif open_.get("\\env"):
+                while pop() != "\\env":
+                    pass
+
+
+#: Smoothness of the cut: between neighbours of one language, of different languages, between the children of one element, and
+#: between a child and its element; and the hold of noise on what stands in it.
+SAME, OTHER, PARENT, CHILD, HOLD = 1.2, 0.15, 0.8, 0.4, 24.0
+#: Cost of calling a construct residue (what evidence has to outweigh); of calling a text run residue, without function words
+#: and for each of them, up to the most.
+PRIOR = 3.0
+RUN, RUN_WORD, RUN_MOST = 2.0, 1.0, 6.0
 NEAR = 160
 
 
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Maximum flow by shortest augmenting paths; True for nodes on the source side. ``source[i]`` is the capacity from the
-    source (lost if i ends on the sink side), ``sink[i]`` the one to the sink, ``edges`` are undirected."""
+    """Maximum flow by blocking flows in layers (Dinic); True for nodes on the source side. ``source[i]`` is the capacity from
+    the source (lost if i ends on the sink side), ``sink[i]`` the one to the sink, ``edges`` are undirected. In graphs like
+    these, chains with a few links, the layers are few and a round is linear."""
     n = len(source)
     rs, rt = list(source), list(sink)
+    for i in range(n):  # the direct paths first
+        f = min(rs[i], rt[i])
+        rs[i] -= f
+        rt[i] -= f
     adj: list[list[int]] = [[] for _ in range(n)]
     to: list[int] = []
     cap: list[float] = []
     for a, b, c in edges:
         adj[a].append(len(to))
-        to.append(b)
-        cap.append(c)
-        adj[b].append(len(to))
-        to.append(a)
-        cap.append(c)
-    for i in range(n):  # the direct paths first
-        f = min(rs[i], rt[i])
-        rs[i] -= f
-        rt[i] -= f
+        adj[b].append(len(to) + 1)
+        to += [b, a]
+        cap += [c, c]
     while True:
-        via = [-2] * n
+        level = [-1] * n
         queue = deque(i for i in range(n) if rs[i] > 1e-9)
         for i in queue:
-            via[i] = -1
-        goal = -1
+            level[i] = 0
+        roots, goal = list(queue), False
         while queue:
             i = queue.popleft()
-            if rt[i] > 1e-9:
-                goal = i
-                break
+            goal = goal or rt[i] > 1e-9
             for e in adj[i]:
-                j = to[e]
-                if cap[e] > 1e-9 and via[j] == -2:
-                    via[j] = e
-                    queue.append(j)
-        if goal < 0:
-            return [v != -2 for v in via]
-        path, i = [], goal
-        while via[i] != -1:
-            path.append(via[i])
-            i = to[via[i] ^ 1]
-        f = min([rs[i], rt[goal], *(cap[e] for e in path)])
-        rs[i] -= f
-        rt[goal] -= f
-        for e in path:
-            cap[e] -= f
-            cap[e ^ 1] += f
+                if cap[e] > 1e-9 and level[to[e]] < 0:
+                    level[to[e]] = level[i] + 1
+                    queue.append(to[e])
+        if not goal:
+            return [l >= 0 for l in level]
+        at = [0] * n
+        for r in roots:
+            path: list[int] = []
+            while rs[r] > 1e-9:
+                i = to[path[-1]] if path else r
+                if rt[i] > 1e-9:
+                    f = min([rs[r], rt[i], *(cap[e] for e in path)])
+                    rs[r] -= f
+                    rt[i] -= f
+                    back = len(path)
+                    for k in range(len(path) - 1, -1, -1):
+                        e = path[k]
+                        cap[e] -= f
+                        cap[e ^ 1] += f
+                        if cap[e] <= 1e-9:
+                            back = k
+                    del path[back:]
+                    continue
+                while at[i] < len(adj[i]):
+                    e = adj[i][at[i]]
+                    if cap[e] > 1e-9 and level[to[e]] == level[i] + 1:
+                        path.append(e)
+                        break
+                    at[i] += 1
+                else:
+                    if not path:
+                        break
+                    at[to[path.pop() ^ 1]] += 1
+
 
+def run_cost(run: str) -> float:
+    """Cost of calling a text run residue, by its function words; 0 for a blank one."""
+    if not run or run.isspace():
+        return 0.0
+    return min(RUN_MOST, RUN + RUN_WORD * language_scores(WORD.findall(run.lower()))[0])
 
-def label(text: str, nodes: list[Node]) -> list[bool]:
+
+def label(text: str, nodes: list[Node], noise: list[tuple[int, int]] | None = None) -> list[bool]:
     """True for each construct that the cut puts on the side of residue. Constructs of one language that follow each other
-    on one line form one unit of the graph, so that a table of many cells stays small."""
+    on one line (and in one place of noise, or none) form one unit of the graph, so that a table of many cells stays small."""
     if not nodes:
         return []
     _parents(text, nodes)
+    noise = noise or []
+    place = [next((k for k, (s, e) in enumerate(noise) if s <= n.start and n.end <= e), -1) for n in nodes] if noise else [-1] * len(nodes)
     units: list[list[int]] = []
+    unit_of = [0] * len(nodes)
     for i, n in enumerate(nodes):
         p = nodes[units[-1][-1]] if units else None
-        if p and p.lang == n.lang and n.weight >= 5 and p.weight >= 5 and "\n" not in text[min(p.end, n.start):n.start]:
+        if p and p.lang == n.lang and n.weight >= 5 and p.weight >= 5 and place[i] == place[units[-1][-1]] and "\n" not in text[min(p.end, n.start):n.start]:
             units[-1].append(i)
         else:
             units.append([i])
-    source, sink = [], []  # source side: content, sink side: residue
-    edges = []
+        unit_of[i] = len(units) - 1
+    source, sink, edges = [], [], []  # source side: content, sink side: residue
+    held: dict[int, int] = {}
+    for k in sorted({p for p in place if p >= 0}):
+        held[k] = len(source)
+        source.append(1e6)
+        sink.append(0.0)
+    me_of: list[int] = []
     last_by_parent: dict[int, int] = {}
-    before = -1
-    piped = [u for u in units if nodes[u[0]].kind == "piped"]
+    before, run_before = -1, -1
+    piped = sum(nodes[u[0]].kind == "piped" for u in units)
     for k, u in enumerate(units):
         a = nodes[u[0]]
         w = min(12.0, sum(nodes[i].weight for i in u))
-        if a.kind == "piped" and len(piped) >= 2:
+        if a.kind == "piped" and piped >= 2:
             w += 1.5  # rows of one shape after another
         prev_end = nodes[units[k - 1][-1]].end if k else 0
-        run = text[prev_end:a.start]
-        if run.strip():  # a text run between the constructs
-            source.append(CONTENT)
+        cost = run_cost(text[prev_end:a.start])
+        if cost:  # a text run between the constructs
+            run_before = len(source)
+            source.append(cost)
             sink.append(0.0)
-            r = len(source) - 1
             if before >= 0:
-                edges.append((before, r, OTHER))
-            edges.append((r, r + 1, OTHER))
+                edges.append((before, run_before, OTHER))
+            edges.append((run_before, run_before + 1, OTHER))
+        me = len(source)
         source.append(PRIOR)
-        sink.append(w)
-        me = len(source) - 1
+        sink.append(max(0.0, w))
+        me_of.append(me)
         if before >= 0:
             p = nodes[units[k - 1][-1]]
             if a.start - p.end <= NEAR:
                 edges.append((before, me, SAME if p.lang == a.lang else OTHER))
-        q = last_by_parent.get(a.parent, -1) if a.parent >= 0 else -1
-        if q >= 0 and q != before:
-            edges.append((q, me, PARENT))
+        if place[u[0]] >= 0:
+            edges.append((held[place[u[0]]], me, HOLD))
+        if a.parent >= 0:
+            q = last_by_parent.get(a.parent, -1)
+            if q >= 0 and q != before:
+                edges.append((q, me, PARENT))
+            up = me_of[unit_of[a.parent]]
+            if up != me:
+                edges.append((up, me, CHILD))
         last_by_parent[a.parent] = me
         before = me
     side = min_cut(source, sink, edges)
     out = [False] * len(nodes)
-    at = -1
-    for k, u in enumerate(units):
-        prev_end = nodes[units[k - 1][-1]].end if k else 0
-        at += 1 + bool(text[prev_end:nodes[u[0]].start].strip())
+    for u, me in zip(units, me_of):
         for i in u:
-            out[i] = not side[at]
+            out[i] = not side[me]
     return out
 
 
@@ -327,7 +392,7 @@ def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
     """Places of machine output and unreadable signs, whose signs are no markup: lines of JSON, blocks of logs, encoded
     blocks, symbol noise. Blocks end at blank lines; what stands in code, formulas and comments is not judged."""
     held = [(n.start, n.end) for n in nodes if n.kind in _HOLDERS]
-    spans = []
+    spans: list[tuple[int, int]] = []
     cuts = [0, *(m.end() for m in _BLANK_LINE.finditer(text)), len(text)]
     whole, _ = _noisy(_outside(text, nodes, 0, len(text)))
     for s, e in zip(cuts, cuts[1:]):
@@ -354,20 +419,52 @@ def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
     return spans
 
 
-def residue(text: str) -> list[Node]:
-    """Constructs outside noise that the cut calls residue."""
-    nodes = constructs(text)
+def residue(text: str, costs: Costs | None = None) -> list[Node]:
+    """Constructs that the cut calls residue."""
+    nodes = constructs(text, costs)
     if not nodes:
         return []
-    spans = noise_spans(text, nodes)
-    if spans:
-        nodes = [n for n in nodes if not any(s <= n.start and n.end <= e for s, e in spans)]
-    return [n for n, m in zip(nodes, label(text, nodes)) if m]
+    return [n for n, m in zip(nodes, label(text, nodes, noise_spans(text, nodes))) if m]
 
 
-def found(text: str) -> list[str]:
+def found(text: str, costs: Costs | None = None) -> list[str]:
     """Languages of which residue is in the text."""
-    return sorted({n.lang for n in residue(text)})
+    return sorted({n.lang for n in residue(text, costs)})
+
+
+#: Texts of the sample the costs are fitted on, and the weight of the first setting in texts.
+SAMPLE, FIRST = 5_000, 30.0
+
+
+def kinds_seen(text: str) -> list[tuple[str, str, bool]]:
+    """(language, kind, in noise) of a text's constructs, each once."""
+    nodes = constructs(text)
+    spans = noise_spans(text, nodes) if nodes else []
+    return sorted({(n.lang, n.kind, any(s <= n.start and n.end <= e for s, e in spans)) for n in nodes})
+
+
+def costs_of(counts: dict[tuple[str, str], tuple[int, int]]) -> Costs:
+    """Cost of leaving a construct as content: the first setting of its kind, and the logarithm of the share of the kind's texts
+    in which it stands outside noise (texts outside, texts inside). The first setting counts as FIRST texts, so a kind
+    seldom seen keeps it, and one that the corpus mostly has in noise becomes doubtful everywhere."""
+    out: Costs = {}
+    for lang, kind, weight, _ in _CONSTRUCTS:
+        outside, inside = counts.get((lang, kind), (0, 0))
+        n = outside + inside
+        out[lang, kind] = weight + n / (n + FIRST) * math.log((outside + 0.5) / (n + 0.5))
+    return out
+
+
+def fitted_costs(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Costs:
+    """Costs fitted on about ``sample`` texts with signs, chosen by the hash of their content: a bound that does not grow. The
+    driver gets one row for each kind of construct."""
+    c = candidates(docs, text).select(F.col(text).alias("t"))
+    n = c.count()
+    if n > sample:
+        c = c.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < F.lit(int(sample / n * (1 << 30))))
+    seen = flat_map_rows(c, ["t"], kinds_seen, "lang string, kind string, noise boolean")
+    rows = seen.groupBy("lang", "kind").agg(F.count_if(~F.col("noise")).alias("outside"), F.count_if("noise").alias("inside")).collect()  # at most one row a kind of construct
+    return costs_of({(r.lang, r.kind): (r.outside, r.inside) for r in rows})
 
 
 # ------------------------------------------------------------------ clean text
@@ -403,8 +500,8 @@ def _cells(row: str, sep: str) -> str:
     return "\t".join(c.strip() for c in re.split(sep, row.strip().strip("|!")))
 
 
-def _rewrite(n: Node, g: str) -> str:
-    """Clean form of one construct."""
+def _rewrite(n: Node, g: str, entry: str = "- ") -> str:
+    """Clean form of one construct; ``entry`` is the mark of a list's entry."""
     k = n.kind
     if n.lang == "html":
         if k == "entity":
@@ -417,7 +514,7 @@ def _rewrite(n: Node, g: str) -> str:
             if name in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 return "\n\n"
             if name in ("li", "dt", "dd"):
-                return "" if close else "\n- "
+                return "" if close else f"\n{entry}"
             if name in ("td", "th"):
                 return "\t" if close else ""
             if name in ("p", "div", "tr", "ul", "ol", "table", "blockquote", "section", "article", "dl", "br", "hr"):
@@ -485,35 +582,76 @@ def _rewrite(n: Node, g: str) -> str:
         return args[-1] if args else ""
     if k == "command":
         name = g.strip(" \t\\*")
-        return "- " if name == "item" else _SYMBOL.get(name, "")
+        return entry if name == "item" else _SYMBOL.get(name, "")
     return ""
 
 
 _SPACE = re.compile(r"\s+")
 
 
-def clean_text(text: str) -> str:
-    """The text with its residue rewritten. Repeated until no residue is left (an escaped tag becomes one); each round but
-    the last takes signs away, so it ends."""
+_ORDERED = re.compile(r"<ol\b|\\begin\{enumerate", re.I)
+_HEADING = re.compile(r"<h([1-6])\b", re.I)
+_SECTIONS = {"part": 1, "chapter": 1, "title": 1, "section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4, "subparagraph": 5}
+
+
+def headings(text: str, nodes: list[Node]) -> list[tuple[int, str]]:
+    """(level, heading) of the headings among the constructs, in order."""
+    out = []
+    for i, n in enumerate(nodes):
+        g = text[n.start:n.end]
+        if n.kind == "tag" and (m := _HEADING.match(g)):
+            end = next((x for x in nodes[i + 1:] if x.kind == "tag" and re.match(r"</h[1-6]", text[x.start:x.end], re.I)), None)
+            if end:
+                out.append((int(m[1]), _SPACE.sub(" ", re.sub(r"<[^<>]*>", "", text[n.end:end.start])).strip()))
+        elif n.kind == "head" and n.lang == "markdown":
+            t = g.strip()
+            out.append((len(t) - len(t.lstrip("#")), t.strip("#").strip()))
+        elif n.kind == "head" and n.lang == "wiki":
+            t = g.strip()
+            out.append((len(t) - len(t.lstrip("=")), t.strip("=").strip()))
+        elif n.kind == "head" and (m := re.match(r"\\([a-z]+)\*?\{([^{}\n]*)", g)) and m[1] in _SECTIONS:
+            out.append((_SECTIONS[m[1]], m[2].strip()))
+        elif n.kind == "setext":
+            out.append((1 if g.lstrip().startswith("=") else 2, text[:n.start].rstrip("\n").rsplit("\n", 1)[-1].strip()))
+    return out
+
+
+def cleaned_text(text: str, costs: Costs | None = None) -> tuple[str, list[tuple[int, str]]]:
+    """The text with its residue rewritten, and its headings with their levels. Repeated until no residue is left (an
+    escaped tag becomes one); each round but the last takes signs away, so it ends."""
     size = len(_SPACE.sub("", text)) + 1
+    heads: list[tuple[int, str]] = []
     while (left := len(_SPACE.sub("", text))) < size:
         size = left
-        todo = residue(text)
+        nodes = constructs(text, costs)
+        marks = label(text, nodes, noise_spans(text, nodes)) if nodes else []
+        todo = [n for n, m in zip(nodes, marks) if m]
         if not todo:
             break
-        out, at = [], 0
+        heads = heads or headings(text, todo)
+        out, at, numbers = [], 0, {}
         for n in todo:
             if n.start < at:
                 continue  # inside a construct that was rewritten: the next round takes it
-            out += [text[at:n.start], _rewrite(n, text[n.start:n.end])]
+            entry = "- "
+            if n.parent >= 0 and _ORDERED.match(text, nodes[n.parent].start) and (n.kind == "tag" and text[n.start + 1:n.start + 3].lower() == "li" or n.kind == "command"):
+                numbers[n.parent] = numbers.get(n.parent, 0) + 1
+                entry = f"{numbers[n.parent]}. "
+            out += [text[at:n.start], _rewrite(n, text[n.start:n.end], entry)]
             at = n.end
+            if n.kind in ("cells", "table") and text[at:at + 1] == "\n":
+                at += 1  # a table's rule leaves no blank line inside it
         new = "".join(out) + text[at:]
         new = re.sub(r"[ \t]+(?=\n)", "", new)
         new = re.sub(r"\n{3,}", "\n\n", new)
         if new == text:
             break
         text = new
-    return text.strip("\n")
+    return text.strip("\n"), heads
+
+
+def clean_text(text: str, costs: Costs | None = None) -> str:
+    return cleaned_text(text, costs)[0]
 
 
 # ------------------------------------------------------------------ operators
@@ -522,20 +660,24 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
     return docs.where(F.col(text).rlike(SIGNS))
 
 
-def markup_found(docs: DataFrame, key: str = "paragraph_id", text: str = "paragraph") -> DataFrame:
-    """Distinct (key, markup): the languages whose residue is in the text."""
+def markup_found(docs: DataFrame, key: str = "paragraph_id", text: str = "paragraph", costs: Costs | None = None) -> DataFrame:
+    """Distinct (key, markup): the languages whose residue is in the text. Costs are fitted on a sample if not given."""
     kind = docs.schema[key].dataType.simpleString()
-    c = candidates(docs.where(F.col(key).isNotNull()), text)
-    return flat_map_rows(c, [key, text], lambda k, t: [(k, m) for m in found(t)], f"`{key}` {kind}, markup string").distinct()
+    d = docs.where(F.col(key).isNotNull())
+    fit = costs or fitted_costs(d, key, text)
+    return flat_map_rows(candidates(d, text), [key, text], lambda k, t: [(k, m) for m in found(t, fit)], f"`{key}` {kind}, markup string").distinct()
 
 
-def _cleaned(t: str | None) -> tuple:
-    c = clean_text(t)
-    return (c, c != t)
+def cleaned(docs: DataFrame, key: str = "paragraph_id", text: str = "paragraph", costs: Costs | None = None) -> DataFrame:
+    """(key, clean, changed, headings) for each row of the table; ``headings`` are the (level, heading) of the residue. Texts
+    without any sign pass by on the JVM."""
+    fit = costs or fitted_costs(docs, key, text)
+    has = F.coalesce(F.col(text).rlike(SIGNS), F.lit(False))
+    kind = "array<struct<level:int,heading:string>>"
+    rest = docs.where(~has).select(key, F.col(text).alias("clean"), F.lit(False).alias("changed"), F.array().cast(kind).alias("headings"))
 
+    def one(t: str) -> tuple:
+        c, heads = cleaned_text(t, fit)
+        return (c, c != t, [{"level": l, "heading": h} for l, h in heads])
 
-def cleaned(docs: DataFrame, key: str = "paragraph_id", text: str = "paragraph") -> DataFrame:
-    """(key, text, changed) for each row of the table; texts without any sign pass by on the JVM."""
-    has = F.coalesce(F.col(text).rlike(SIGNS), F.lit(False))
-    rest = docs.where(~has).select(key, F.col(text).alias("clean"), F.lit(False).alias("changed"))
-    return map_rows(docs.where(has), [key], [text], _cleaned, "clean string, changed boolean").unionByName(rest)
+    return map_rows(docs.where(has), [key], [text], one, f"clean string, changed boolean, headings {kind}").unionByName(rest)

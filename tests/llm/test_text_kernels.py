@@ -52,6 +52,53 @@ def test_doubtful_sign_follows_its_surroundings():
     assert all(markup.label(rows, markup.constructs(rows)))
 
 
+def test_the_cut_decides_where_single_costs_do_not(monkeypatch):
+    rows, log = "| a | b |\n| c | d |\n| e | f |", '{"a": 1, "b": "se **her** og *der*"}'
+    alone = lambda t: sorted({n.lang for n in markup.constructs(t) if n.weight >= markup.PRIOR})
+    cases = {rows: ["markdown"], log: [], "Se <ny>kortet</ny> <b>her</b>.": ["html"], "Pris | antal\n" + log: [], "<ul><li>$a$</li><li>$b$</li><li>\\(x\\)</li></ul>": ["html", "latex"]}
+    for t, want in cases.items():
+        assert markup.found(t) == want, t
+    assert sum(alone(t) != want for t, want in cases.items()) >= 3
+    doubtful = "<ul><li>\\*et</li><li>\\*to</li><li>\\*tre</li></ul>"
+    monkeypatch.setattr(markup, "PARENT", 0.0)
+    monkeypatch.setattr(markup, "CHILD", 0.0)
+    without = markup.found(doubtful)
+    monkeypatch.undo()
+    assert markup.found(doubtful) == ["html", "markdown"] and without == ["html"]
+
+
+def test_costs_are_fitted_by_what_stands_in_noise():
+    fit = markup.costs_of({("markdown", "em"): (20, 4000), ("html", "tag"): (5000, 0), ("markdown", "strong"): (0, 2)})
+    first = {(l, k): w for l, k, w, _ in markup._CONSTRUCTS}
+    assert fit["markdown", "em"] < markup.PRIOR < first["markdown", "em"] and fit["html", "tag"] == pytest.approx(first["html", "tag"], abs=0.01) and fit["markdown", "strong"] > 7.5 and fit["latex", "math"] == first["latex", "math"]
+    assert markup.found("Den er *stor* nu.", fit) == [] and markup.found("Den er *stor* nu, se **her** og ## der.\n## Om\n*ja*", fit) == ["markdown"]
+
+
+def test_the_flow_is_near_linear():
+    import time
+
+    took = []
+    for n in (500, 4000):
+        text = "\n".join(f"\\*ord{i} og | a | b |\n| c{i} | d |\n<x{i}> tekst \\* her" for i in range(n))
+        nodes = markup.constructs(text)
+        began = time.process_time()
+        markup.label(text, nodes)
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0] + 0.3 and took[1] < 4
+
+
+@pytest.mark.parametrize(
+    ("text", "clean", "heads"),
+    [
+        ("<ol><li>et</li><li>to</li></ol>", "1. et\n2. to", []), ("<ul><li>a</span><li>b</ul><ol><li>c<li>d</ol>", "- a\n- b\n\n1. c\n2. d", []), ("\\begin{enumerate}\n\\item a\n\\item b\n\\end{enumerate}", "1. a\n2. b", []),
+        ("| a | b |\n|---|---|\n| 1 | 2 |", "a\tb\n1\t2", []), ("{| class=w\n|-\n| a || b\n|-\n| c || d\n|}", "a\tb\nc\td", []), ("<h1>By</h1><p>En by.</p><h3>Havn</h3>", "By\n\nEn by.\n\nHavn", [(1, "By"), (3, "Havn")]),
+        ("# By\n\n### Havn\nEn havn.", "By\n\nHavn\n\nEn havn.", [(1, "By"), (3, "Havn")]), ("=== Havn ===\nEn havn.", "Havn\n\nEn havn.", [(3, "Havn")]), ("\\subsection{Havn} En havn.", "Havn\n En havn.", [(2, "Havn")]), ("By\n====\nEn by.", "By\n\nEn by.", [(1, "By")]),
+    ],
+)
+def test_lists_tables_and_headings_keep_their_structure(text, clean, heads):
+    assert markup.cleaned_text(text) == (clean, heads)
+
+
 @pytest.mark.parametrize(
     ("text", "clean"),
     [
