@@ -25,8 +25,8 @@ from .common import materialise, plain_source
 from .tokens import VOCABULARY, sizes
 
 BITS, LEVELS, WIDTH = 60, 3, 12
-#: Targets up to this number are broadcast; more meet the documents in a plain join.
-FEW_TARGETS = 10_000
+#: Targets up to this number are broadcast; more meet the documents in a join salted by document.
+FEW_TARGETS, SALTS = 10_000, 32
 
 
 def hashed(key: Column) -> Column:
@@ -59,9 +59,11 @@ def thresholds(s: DataFrame, b: DataFrame, hint: Callable[[DataFrame], DataFrame
     cur = b.where("rest > 0 and supply > 0").select("mix", "source", "rest", F.lit(0).cast("long").alias("prefix"))
     for level in range(LEVELS):
         shift = BITS - WIDTH * level
-        inside = s.join(hint(cur.select("source", F.col("prefix").alias("p")).distinct()), "source") if level else s.withColumn("p", F.lit(0).cast("long"))
-        if level:
-            inside = inside.where(F.shiftrightunsigned(F.col("h"), shift) == F.shiftrightunsigned(F.col("p"), shift))
+        if level:  # source and prefix, so that a source with many mixes or documents is no single key
+            wanted = cur.select("source", F.col("prefix").alias("p"), F.shiftrightunsigned("prefix", shift).alias("_top")).distinct()
+            inside = s.withColumn("_top", F.shiftrightunsigned("h", shift)).join(hint(wanted), ["source", "_top"])
+        else:
+            inside = s.withColumn("p", F.lit(0).cast("long"))
         hist = inside.groupBy("source", "p", bucket(level).alias("b")).agg(F.sum("tokens").alias("t"))
         hist = hist.withColumn("before", F.sum("t").over(W.partitionBy("source", "p").orderBy("b").rowsBetween(W.unboundedPreceding, -1))).na.fill(0, ["before"])
         # the boundary is the first bucket whose running sum passes the rest; without one the whole range is taken
@@ -85,14 +87,20 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     low = thresholds(s, b, hint)
     # the last bucket holds a 2^-36 part of a source: its rows are taken in the order of their hash while they fit
     bits = BITS - WIDTH * LEVELS
-    edge = s.join(hint(low), "source").where(F.shiftrightunsigned(F.col("h"), bits) == F.shiftrightunsigned(F.col("low"), bits))
+    edge = s.withColumn("_top", F.shiftrightunsigned("h", bits)).join(hint(low.withColumn("_top", F.shiftrightunsigned("low", bits))), ["source", "_top"])
     run = F.sum("tokens").over(W.partitionBy("mix", "source").orderBy("h").rangeBetween(W.unboundedPreceding, 0))
     last = edge.withColumn("run", run).where("run <= rest").groupBy("mix", "source").agg(F.max("h").alias("h_last"))
     upto = low.join(last, ["mix", "source"], "left").select("mix", "source", F.coalesce(F.col("h_last") + 1, F.col("low")).alias("upto"))
     # a rest that no bucket passes takes the whole source (rounding of the budget only)
     plan = b.join(upto, ["mix", "source"], "left").withColumn("upto", F.when(F.col("rest") > 0, F.coalesce("upto", F.lit(1 << BITS))).otherwise(F.lit(0)))
     repeats = F.col("passes") + (F.col("h") < F.col("upto")).cast("long")
-    uses = s.join(hint(plan.select("mix", "source", "passes", "upto")), "source").withColumn("repeats", repeats).where("repeats > 0").select("mix", "doc_id", "source", "tokens", F.col("repeats").cast("int").alias("repeats"))
+    want = plan.select("mix", "source", "passes", "upto")
+    if few:
+        met = s.join(F.broadcast(want), "source")
+    else:
+        want = want.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = s.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")).join(want, ["source", "salt"])
+    uses = met.withColumn("repeats", repeats).where("repeats > 0").select("mix", "doc_id", "source", "tokens", F.col("repeats").cast("int").alias("repeats"))
     got = uses.groupBy("mix", "source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("used_docs"), F.max("repeats").alias("most_repeats"))
     r = b.join(got, ["mix", "source"], "left").na.fill(0, ["tokens", "used_docs", "most_repeats"])
     whole = F.sum("tokens").over(W.partitionBy("mix"))

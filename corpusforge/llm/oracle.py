@@ -9,7 +9,15 @@ k AS (SELECT *, regexp_replace(lower(trim(regexp_replace(line, '{_WS}', ' ', 'g'
       WHERE length(regexp_replace(line, '[^\p{{L}}]', '', 'g')) >= 20),
 g AS (SELECT source, norm, count(DISTINCT paragraph_id) AS docs FROM k GROUP BY ALL HAVING count(DISTINCT paragraph_id) >= 10)"""
 
+_KEPT = """
+kept AS (SELECT DISTINCT paragraph_id, source, line_no, norm FROM k JOIN g USING (source, norm)),
+pairs AS (SELECT paragraph_id, source, norm, lead(norm) OVER w AS nx, lead(line_no) OVER w - line_no AS gap FROM kept WINDOW w AS (PARTITION BY paragraph_id ORDER BY line_no)),
+e AS (SELECT source, least(norm, nx) AS a, greatest(norm, nx) AS b FROM pairs WHERE nx IS NOT NULL AND gap <= 2 AND nx <> norm GROUP BY ALL HAVING count(DISTINCT paragraph_id) >= 10),
+links AS (SELECT source, a, b FROM e UNION ALL SELECT source, b, a FROM e),
+reach AS (SELECT source, norm AS x, norm AS y FROM g UNION SELECT r.source, r.x, links.b FROM reach r JOIN links ON links.source = r.source AND links.a = r.y)"""
+
 ORACLE_SQL = {
+    "p4_blocks": f"WITH RECURSIVE {_LINES}, {_KEPT} SELECT g.source, min(y) AS block, g.norm AS line, any_value(g.docs) AS docs FROM g JOIN reach r ON r.source = g.source AND r.x = g.norm GROUP BY g.source, g.norm",
     "p4_found": f"WITH {_LINES} SELECT DISTINCT paragraph_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN g USING (source, norm)",
     "p4_clean": f"""WITH {_LINES},
 f AS (SELECT DISTINCT paragraph_id, line_no FROM k JOIN g USING (source, norm)),

@@ -13,6 +13,8 @@ Items of size 0 (null or empty texts) go into any bin. Rows without key are left
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +25,17 @@ from .tokens import VOCABULARY, sizes
 SHARD_ITEMS = 8192
 #: Cost of a bin besides its length, in tokens: what a sequence costs however short it is.
 OVERHEAD = 8
+#: Length at which a sequence costs twice its tokens, as the work of attention grows with the square of the length.
+ATTENTION = 4096
+
+
+def bin_cost(length: int, attention: int = 0) -> float:
+    """Cost of a bin in tokens: its length, what any bin costs, and with ``attention`` the work that grows with the square."""
+    return length + OVERHEAD + (length * length / attention if attention else 0.0)
+
 
 
-def best_fit(items: list[int], lengths: list[int], policy: str) -> tuple[list[int], list[int]]:
+def best_fit(items: list[int], lengths: list[int], policy: str, attention: int = 0) -> tuple[list[int], list[int]]:
     """Best fit of items in the order given. Returns the bin of each item, and the length each bin was opened with.
     Open bins are kept by free space, the free spaces that occur in one integer's bits, so the tightest bin that
     holds an item is found by a shift."""
@@ -49,8 +59,8 @@ def best_fit(items: list[int], lengths: list[int], policy: str) -> tuple[list[in
                 c = fits[0]
             elif policy == "largest":
                 c = top
-            else:  # least cost: length and overhead for each token the bin can be expected to hold
-                c = min(fits, key=lambda c: ((c + OVERHEAD) / (c // max(s, 1) * max(s, 1)), c))
+            else:  # least cost for each token the bin can be expected to hold: as many items of this size as go in, and small ones
+                c = min(fits, key=lambda c: (bin_cost(c, attention) / max(c // max(s, 1) * max(s, 1), 0.9 * c), c))
             b, r = len(bins), c
             bins.append(c)
         where.append(b)
@@ -60,26 +70,26 @@ def best_fit(items: list[int], lengths: list[int], policy: str) -> tuple[list[in
     return where, bins
 
 
-def pack(items: list[int], lengths: list[int]) -> tuple[list[int], list[int], list[int]]:
+def pack(items: list[int], lengths: list[int], attention: int = 0) -> tuple[list[int], list[int], list[int]]:
     """Cheapest result of the opening policies after downsizing: bin of each item, final length and contents of each bin."""
     best = None
     asc = sorted(lengths)
     for policy in ("cost", "least", "largest") if len(lengths) > 1 else ("least",):
-        where, bins = best_fit(items, lengths, policy)
+        where, bins = best_fit(items, lengths, policy, attention)
         held = [0] * len(bins)
         for s, b in zip(items, where):
             held[b] += s
         final = [next(c for c in asc if c >= h) for h in held]
-        cost = sum(final) + OVERHEAD * len(final)
+        cost = sum(bin_cost(c, attention) for c in final)
         if best is None or cost < best[0]:
             best = (cost, where, final, held)
     return best[1], best[2], best[3]
 
 
-OUT = "profile string, container long, capacity int, doc_id long, piece int, first_token long, tokens int, filled int"
+OUT = "profile string, container long, capacity int, doc_id {key}, piece int, first_token long, tokens int, filled int"
 
 
-def pack_shard(profiles: list[tuple[str, list[int]]]):
+def pack_shard(profiles: list[tuple[str, list[int]]], attention: int = 0):
     """Packer of one shard for every profile (name, permitted lengths)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -88,29 +98,41 @@ def pack_shard(profiles: list[tuple[str, list[int]]]):
         out: list[tuple] = []
         for name, lengths in profiles:
             cap = max(lengths)
-            items: list[tuple[int, int, int, int]] = []  # size, key, piece, first token
+            items: list[tuple] = []  # size, place of the key, piece, first token
             n_full = 0
-            for i, t in zip(ids, toks):
+            for i, t in enumerate(toks):
                 k = 0
                 while t - k * cap > cap:
-                    out.append((name, (shard << 32) + (1 << 31) + n_full, cap, i, k, k * cap, cap, cap))
+                    out.append((name, (shard << 32) + (1 << 31) + n_full, cap, ids[i], k, k * cap, cap, cap))
                     n_full += 1
                     k += 1
                 items.append((t - k * cap, i, k, k * cap))
             items.sort(key=lambda x: (-x[0], x[1]))
-            where, final, held = pack([x[0] for x in items], lengths)
-            out += [(name, (shard << 32) + b, final[b], i, k, at, s, held[b]) for (s, i, k, at), b in zip(items, where)]
+            where, final, held = pack([x[0] for x in items], lengths, attention)
+            out += [(name, (shard << 32) + b, final[b], ids[i], k, at, s, held[b]) for (s, i, k, at), b in zip(items, where)]
         return pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
 
     return run
 
 
-def containers(docs: DataFrame, profiles: list[tuple[str, list[int]]], key: str = "doc_id", text: str = "text", path: str = VOCABULARY, shard_items: int = SHARD_ITEMS) -> DataFrame:
-    """The operator: one row for each piece placed (OUT). ``container`` is unique within a profile, ``filled`` its contents."""
-    s = sizes(docs.where(F.col(key).isNotNull()), key, text, [], path).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.max("tokens").alias("tokens"))
+def containers(docs: DataFrame, profiles: list[tuple[str, list[int]]], key: str = "doc_id", text: str = "text", path: str = VOCABULARY, shard_items: int = SHARD_ITEMS, attention: int = 0) -> DataFrame:
+    """The operator: one row for each piece placed (OUT), its key of the table's own type. ``container`` is unique within a
+    profile, ``filled`` its contents; ``attention`` is a parameter of the cost of a bin."""
+    s = sizes(docs.where(F.col(key).isNotNull()), key, text, [], path).groupBy(F.col(key).alias("doc_id")).agg(F.max("tokens").alias("tokens"))
     s = materialise(s, "sizes")
     n = max(1, -(-s.count() // shard_items))
-    return s.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).groupBy("shard").applyInPandas(pack_shard(profiles), OUT)
+    kind = docs.schema[key].dataType.simpleString()
+    # a partition for each shard, up to what a job can have: hashing would put some together, adaptive execution all of them
+    d = s.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartitionById(min(n, 100_000), F.col("shard"))
+    packer = pack_shard(profiles, attention)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if parts:
+            for _, g in pd.concat(parts).groupby("shard"):
+                yield packer(g)
+
+    return d.mapInPandas(run, OUT.format(key=kind))
 
 
 def read_profiles(table: DataFrame, limit: int = 1000) -> list[tuple[str, int]]:

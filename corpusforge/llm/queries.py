@@ -47,7 +47,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_blocks(spark: SparkSession, d: str) -> DataFrame:
     _, blocks = sitelines.boilerplate(table(spark, d, "paragraphs"))
-    return blocks.select("block", "source", "line", "docs")
+    return sitelines.named_blocks(blocks)
 
 
 def p4_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +68,7 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return tokens.counted(table(spark, d, "selected"), "selected_id", "paragraph", tokens.slices(), tokens.vocabulary_path(spark))
+    return tokens.with_slice_totals(tokens.counted(table(spark, d, "selected"), "selected_id", "paragraph", tokens.slices(), tokens.vocabulary_path(spark)), "selected_id")
 
 
 def p6_budget(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +78,7 @@ def p6_budget(spark: SparkSession, d: str) -> DataFrame:
 def _packed(spark: SparkSession, d: str, joint: bool) -> DataFrame:
     profiles = packing.read_profiles(table(spark, d, "pack_profiles"))
     plan = [("joint", [c for _, c in profiles])] if joint else [(name, [c]) for name, c in profiles]
-    return packing.containers(table(spark, d, "documents"), plan, path=tokens.vocabulary_path(spark))
+    return packing.containers(table(spark, d, "documents"), plan, path=tokens.vocabulary_path(spark), attention=packing.ATTENTION if joint else 0)
 
 
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +90,7 @@ def p7_joint(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_usage(spark: SparkSession, d: str) -> DataFrame:
-    return packing.usage(_packed(spark, d, False))
+    return packing.usage(_packed(spark, d, False)).unionByName(packing.usage(_packed(spark, d, True)))
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -115,6 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p1_found, p1_quality, p2_found, p2_clean, p3_found, p3_report, p4_found, p4_blocks, p4_clean, p5_found, p5_report, p6_tokens, p6_budget,
-        p7_pack, p7_joint, p7_usage, p8_mix, p8_shares, p9_found, p9_levels,
+        p7_joint, p7_pack, p7_usage, p8_mix, p8_shares, p9_found, p9_levels,
     )
 }

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, plain_source
+from .common import discard, materialise, plain_source
 
 #: White space of any kind, no-break and zero-width-free: the Unicode class plus the four separators Java leaves out.
 WS = r"(?U)[\s\x1c-\x1f]+"
@@ -51,9 +51,11 @@ def kept_occurrences(occ: DataFrame, nodes: DataFrame) -> DataFrame:
     return salted_join(occ, nodes.select("node_a", "node_b"), ["node_a", "node_b"], "left_semi")
 
 
-def salted_join(occ: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, by: str = "doc") -> DataFrame:
+    """A join whose left side is salted by ``by``, the right side replicated: a key that much of the left side holds is spread
+    over SALTS tasks."""
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    left = occ.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    left = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
     return left.join(right, [*on, "salt"], how).drop("salt")
 
 
@@ -67,22 +69,26 @@ def edges(kept: DataFrame, min_docs: int = 10) -> DataFrame:
     return e.select(F.col("a").alias("src"), F.col("b").alias("dst"), "docs").unionByName(e.select(F.col("b").alias("src"), F.col("a").alias("dst"), "docs"))
 
 
-def components(nodes: DataFrame, e: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """Connected components (node_a, block) by least label with pointer jumping; each round is a table in the shared
-    folder, and the driver sees one number a round. A graph that needs more than ``max_rounds`` raises an error."""
+def components(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """Connected components (node_a, block) by least label with pointer jumping, until nothing changes: labels only fall, and
+    their distances halve each round. A round is a table in the shared folder (the one before is deleted), and the driver
+    sees one number of it. Lines of one large block meet its label in a salted join."""
     cur = nodes.select("node_a", F.col("node_a").alias("block")).distinct()
     if e.isEmpty():
         return cur
     e = materialise(e.select("src", "dst"), "line-edges")
-    for _ in range(max_rounds):
+    last = None
+    while True:
         near = e.join(cur.select(F.col("node_a").alias("dst"), F.col("block").alias("b")), "dst").groupBy("src").agg(F.min("b").alias("b"))
         step = cur.join(near, cur.node_a == near.src, "left").select("node_a", F.col("block").alias("old"), F.least("block", F.coalesce("b", "block")).alias("block"))
         up = step.select(F.col("node_a").alias("block"), F.col("block").alias("root"))
-        jumped = materialise(step.join(up, "block", "left").select("node_a", "old", F.least("block", F.coalesce("root", "block")).alias("block")), "line-labels")
-        cur = jumped.select("node_a", "block")
+        jumped = salted_join(step, up, ["block"], "left", "node_a").select("node_a", "old", F.least("block", F.coalesce("root", "block")).alias("block"))
+        jumped = materialise(jumped, "line-labels")
+        if last is not None:
+            discard(last)
+        last, cur = jumped, jumped.select("node_a", "block")
         if jumped.where("block <> old").isEmpty():
             return cur
-    raise RuntimeError("the components of the line graph did not settle")
 
 
 def boilerplate(docs: DataFrame, key: str = "paragraph_id", text: str = "paragraph", source: Column | None = None, min_docs: int = 10, min_letters: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -99,6 +105,12 @@ def boilerplate(docs: DataFrame, key: str = "paragraph_id", text: str = "paragra
     return places, found
 
 
+def named_blocks(blocks: DataFrame) -> DataFrame:
+    """(source, block, line, docs): each repeated line with its block, which goes by its least line."""
+    least = blocks.groupBy("source", "block").agg(F.min("line").alias("name"))
+    return salted_join(blocks, least, ["source", "block"], "inner", "node_a").select("source", F.col("name").alias("block"), "line", "docs")
+
+
 def clean(docs: DataFrame, places: DataFrame, key: str = "paragraph_id", text: str = "paragraph") -> DataFrame:
     """Each document (once for each key) without its repeated lines: (key, text, removed)."""
     drop = places.groupBy("doc").agg(F.collect_set("line_no").alias("drop"))  # at most the lines of one document

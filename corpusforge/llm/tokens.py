@@ -16,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, path_of, plain_lang, plain_source
+from .common import map_rows, materialise, path_of, plain_lang, plain_source
 
 #: Path of the vocabulary file (a parameter: session setting ``corpusforge.tokenizer``).
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -101,6 +101,15 @@ def counted(docs: DataFrame, key: str, text: str, keep: list[Column], path: str)
     return j.na.fill(0, ["tokens", "chars", "copies"])
 
 
+def with_slice_totals(counted_rows: DataFrame, key: str) -> DataFrame:
+    """Adds ``slice_passages`` and ``slice_tokens``, the totals of the row's source, language and domain. The counts (no text) are
+    written once; a slice that holds a third of all rows meets its total in a salted join."""
+    t = materialise(counted_rows, "token-counts")
+    by = ["source", "lang", "domain"]
+    total = t.groupBy(*by).agg(F.count("*").alias("slice_passages"), F.sum("tokens").alias("slice_tokens")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return t.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(total, [*by, "salt"]).select(*t.columns, "slice_passages", "slice_tokens")
+
+
 def domain(url: Column) -> Column:
     """Host of a URL in lower case without port; null, blank, ``None`` or no URL is ``unknown``."""
     host = F.lower(F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@\s]*@)?([^/:?#\s]+)", 1))

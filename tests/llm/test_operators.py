@@ -153,6 +153,22 @@ def test_consecutive_lines_are_one_block(spark):
     assert sorted(map(sorted, by.values())) == sorted([sorted([a.lower(), b.lower()]), [c.lower()]])
 
 
+def test_blocks_go_by_their_least_line_and_match_sql(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as e
+
+    a, b, c, d = "Den første faste linje på siden", "Den anden faste linje på siden", "En helt anden fast linje på siden", "Ære være den sidste faste linje her"
+    rows = [(i, f"Tekst {i}\n{a}\n\n{b}\n{d}", "news") for i in range(12)] + [(100 + i, f"{c}\nTekst {i}\n\n\n{a}", " News") for i in range(12)] + [(200 + i, f"{c}\n{d}", None) for i in range(11)]
+    spark.createDataFrame(rows, "paragraph_id long, paragraph string, source_type string").write.parquet(str(tmp_path / "paragraphs.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW paragraphs AS SELECT * FROM '{tmp_path}/paragraphs.parquet/*.parquet'")
+    want = con.execute(f"SELECT source, block, line, docs FROM ({e.oracle_sql()['p4_blocks']})").fetchall()
+    got = e.queries()["p4_blocks"](spark, str(tmp_path)).select("source", "block", "line", "docs").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert {(s, k, n) for s, k, _, n in want} == {("news", b.lower(), 24), ("news", b.lower(), 12), ("news", c.lower(), 12), ("knowledge", c.lower(), 11)}
+
+
 def test_components_of_a_long_chain(spark):
     n = 60
     order = list(range(n))
@@ -224,6 +240,8 @@ def test_budget_counts_each_passage_once(spark):
     assert got["source", "news", "*", "*"][0] == 3 and got["lang", "*", "da", "*"][0] == 3 and got["domain", "*", "*", "unknown"][0] == 2
     each = {r.selected_id: (r.tokens, r.copies) for r in tokens.counted(df, "selected_id", "paragraph", tokens.slices(), tokens.VOCABULARY).collect()}
     assert each == {1: (n["En by."], 3), 2: (n["En by."], 3), 3: (n["To byer."], 1), 4: (0, 0)}
+    totals = {r.selected_id: (r.slice_passages, r.slice_tokens) for r in tokens.with_slice_totals(tokens.counted(df, "selected_id", "paragraph", tokens.slices(), tokens.VOCABULARY), "selected_id").collect()}
+    assert totals == {1: (2, 2 * n["En by."]), 2: (2, 2 * n["En by."]), 3: (1, n["To byer."]), 4: (1, 0)}
     assert tokens.budget(df.limit(0)).count() == 0
 
 
@@ -255,6 +273,22 @@ def test_containers_hold_everything_once(spark):
         packing.read_profiles(spark.range(3).select(F.col("id").cast("string").alias("profile"), F.lit(5).alias("capacity")), limit=2)
 
 
+def test_joint_packing_chooses_several_lengths_and_keeps_keys_of_any_type(spark):
+    r = random.Random(7)
+    rows = [(f"d{i}", "by " * int(min(4000, r.paretovariate(0.9) * 40)), "x") for i in range(700)] + [("d1", "by", "x")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, shard string")
+    out = packing.containers(df, [("joint", [512, 2048, 8192])], shard_items=100, attention=packing.ATTENTION)
+    assert out.rdd.getNumPartitions() == 7 and dict(out.dtypes)["doc_id"] == "string"
+    got = out.collect()
+    assert {x.doc_id for x in got} == {k for k, *_ in rows}
+    bins = {(x.container, x.capacity): x.filled for x in got}
+    assert {c for _, c in bins} >= {512, 2048} and all(f <= c for (_, c), f in bins.items())
+    assert all(f > max([0, *(c for c in (512, 2048) if c < cap)]) for (_, cap), f in bins.items())  # downsized to the contents
+    one = {(x.container, x.capacity): x.filled for x in packing.containers(df, [("one", [8192])], shard_items=100).collect()}
+    cost = lambda b: sum(packing.bin_cost(c, packing.ATTENTION) for _, c in b)
+    assert cost(bins) < 0.7 * cost(one)
+
+
 # ------------------------------------------------------------------ 8
 
 def test_mix_meets_its_budgets(spark):
@@ -287,6 +321,15 @@ def test_mix_meets_its_budgets(spark):
     assert mixing.mixed(df.limit(0), t)[0].count() == 0 and mixing.mixed(df, t.limit(0))[0].count() == 0
 
 
+def test_many_targets_take_the_salted_join_and_choose_the_same(spark, monkeypatch):
+    r = random.Random(3)
+    df = spark.createDataFrame([(i, "by og land " * r.randint(0, 30), r.choice("aaab"), 1, "y") for i in range(800)], "doc_id long, text string, source string, salt int, mix string")
+    t = spark.createDataFrame([(f"m{k}", s, w, 2) for k in range(6) for s, w in (("a", 0.1 * k), ("b", 1 - 0.1 * k))], "mix string, source string, target_share double, max_repeats int")
+    few = sorted(map(tuple, mixing.mixed(df, t)[0].collect()))
+    monkeypatch.setattr(mixing, "FEW_TARGETS", 0)
+    assert sorted(map(tuple, mixing.mixed(df, t)[0].collect())) == few and few
+
+
 def test_mix_of_equal_hash_ranges_is_exact_at_the_ends(spark):
     df = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("by").alias("text"), F.lit("a").alias("source"))
     t = lambda share, rep: spark.createDataFrame([("m", "a", share, rep)], "mix string, source string, target_share double, max_repeats int")
