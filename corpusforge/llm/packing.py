@@ -14,6 +14,7 @@ Items of size 0 (null or empty texts) go into any bin. Rows without key are left
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ from .common import materialise
 from .tokens import VOCABULARY, sizes
 
 SHARD_ITEMS = 8192
+#: Profiles that one pass over the sizes fills; more take further passes.
+PROFILES = 1000
 #: Cost of a bin besides its length, in tokens: what a sequence costs however short it is.
 OVERHEAD = 8
 #: Length at which a sequence costs twice its tokens, as the work of attention grows with the square of the length.
@@ -124,6 +127,11 @@ def containers(docs: DataFrame, profiles: list[tuple[str, list[int]]], key: str
     kind = docs.schema[key].dataType.simpleString()
     # a partition for each shard, up to what a job can have: hashing would put some together, adaptive execution all of them
     d = s.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")).repartitionById(min(n, 100_000), F.col("shard"))
+    out = [_placed(d, profiles[at:at + PROFILES], attention, OUT.format(key=kind)) for at in range(0, max(1, len(profiles)), PROFILES)]
+    return reduce(DataFrame.unionAll, out)
+
+
+def _placed(shards: DataFrame, profiles: list[tuple[str, list[int]]], attention: int, schema: str) -> DataFrame:
     packer = pack_shard(profiles, attention)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,10 +140,10 @@ def containers(docs: DataFrame, profiles: list[tuple[str, list[int]]], key: str
             for _, g in pd.concat(parts).groupby("shard"):
                 yield packer(g)
 
-    return d.mapInPandas(run, OUT.format(key=kind))
+    return shards.mapInPandas(run, schema)
 
 
-def read_profiles(table: DataFrame, limit: int = 1000) -> list[tuple[str, int]]:
+def read_profiles(table: DataFrame, limit: int = 1_000_000) -> list[tuple[str, int]]:
     """The profiles as a list; more than ``limit`` raises an error, null names or capacities below 1 are left out."""
     rows = table.where("profile is not null and capacity >= 1").select("profile", "capacity").distinct().orderBy("capacity", "profile").limit(limit + 1).collect()
     if len(rows) > limit:

@@ -273,6 +273,15 @@ def test_containers_hold_everything_once(spark):
         packing.read_profiles(spark.range(3).select(F.col("id").cast("string").alias("profile"), F.lit(5).alias("capacity")), limit=2)
 
 
+def test_profiles_beyond_one_pass_are_filled_too(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "by " * (i % 50)) for i in range(60)], "doc_id long, text string")
+    plan = [(f"p{k}", [64 + k]) for k in range(5)]
+    once = sorted(map(tuple, packing.containers(df, plan).collect()))
+    monkeypatch.setattr(packing, "PROFILES", 2)
+    assert sorted(map(tuple, packing.containers(df, plan).collect())) == once and len({x[0] for x in once}) == 5
+    assert packing.containers(df, []).count() == 0
+
+
 def test_joint_packing_chooses_several_lengths_and_keeps_keys_of_any_type(spark):
     r = random.Random(7)
     rows = [(f"d{i}", "by " * int(min(4000, r.paretovariate(0.9) * 40)), "x") for i in range(700)] + [("d1", "by", "x")]
