@@ -13,7 +13,7 @@ from .operators import clean, completion, dedup, instruct, ordering, resume, rul
 from .operators.completion import StubCompleter
 from .plans import pipeline, stages
 from .sources import cache, settings, tables
-from .sources.shared import scratch
+from .sources.shared import materialise, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -244,9 +244,9 @@ def lsh_dedup_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def pipeline_e2e(spark: SparkSession, d: str) -> DataFrame:
-    p = extract_generic(spark, d)
-    s, _ = stages.select_passages(p, None, StubCompleter("select"), scratch(spark, "cache"))
-    g = stages.generate(s, None, StubCompleter("generate"), scratch(spark, "cache"))
+    p = materialise(extract_generic(spark, d), "paragraphs")  # as the stages' files are
+    s = materialise(stages.select_passages(p, None, StubCompleter("select"), scratch(spark, "cache"))[0], "selected")
+    g = materialise(stages.generate(s, None, StubCompleter("generate"), scratch(spark, "cache")), "pairs")
     f, _ = stages.postprocess(g, ["doc_seq", "chunk_idx"])
     return f.select("prompt_id", F.col("messages")[0]["content"].alias("instruction"), F.col("messages")[1]["content"].alias("answer"), "title", "url", "section_heading")
 
