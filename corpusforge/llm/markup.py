@@ -18,7 +18,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import deque
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ _SPEC = [
     ("html", "drop", 8, r"<(script|style)\b[^>]*>.*?</(?:script|style)\s*>"),
     ("html", "tag", 8, rf"</?(?:{_T})(?:\s[^<>]*)?/?>"),
     ("html", "other", 2.5, r"</?[a-zA-Z][\w-]*(?:\s+[\w-]+=[^<>]*)?/?>(?!\w)"),
-    ("html", "entity", 7, r"&(?:[a-zA-Z][a-zA-Z0-9]{1,30}|#\d{1,7}|#[xX][0-9a-fA-F]{1,6});"),
+    ("html", "entity", 7, r"&(?:amp;)*(?:[a-zA-Z][a-zA-Z0-9]{1,30}|#\d{1,7}|#[xX][0-9a-fA-F]{1,6});"),
     ("markdown", "fence", 8, r"^[ \t]*(`{3,}|~{3,})[^\n`]*\n(?:.*?\n)??[ \t]*\1[ \t]*$|^[ \t]*```[^\n]*$"),
     ("latex", "math", 8, r"\\\[.*?\\\]|\\\(.*?\\\)|\$\$.+?\$\$|\\begin\{((?:equation|align|gather|math|displaymath|eqnarray|multline)\*?)\}.*?\\end\{(?:equation|align|gather|math|displaymath|eqnarray|multline)\*?\}"),
     ("latex", "verbatim", 8, r"\\begin\{(?:verbatim|lstlisting)\}.*?\\end\{(?:verbatim|lstlisting)\}"),
@@ -90,7 +92,7 @@ _SPEC = [
     ("markdown", "task", 8, r"^[ \t]*[-*+][ \t]+\[[ xX]\](?=\s)"),
     ("markdown", "cells", 8, r"^[ \t]*\|?(?:[ \t]*:?-{2,}:?[ \t]*\|)+(?:[ \t]*:?-{2,}:?[ \t]*)?$"),
     ("markdown", "piped", 2.6, r"^[ \t]*\|(?![-+}|])[^\n]*\S[^\n]*\|[ \t]*$"),
-    ("markdown", "quote", 6, r"^[ \t]{0,3}>+(?=[ \t]+\S)"),
+    ("markdown", "quote", 6, r"^[ \t]{0,3}>+(?:[ \t]+>+)*(?=[ \t]+\S)"),
     ("markdown", "code", 7, r"(?<!`)(`{1,2})(?=[^\s`])[^`\n]+?\1(?!`)"),
     ("markdown", "strong", 8, r"(?<![\w*])\*{2,3}(?=[^\s*])[^\n]+?(?<=[^\s*])\*{2,3}(?![\w*])|(?<![\w_])__(?=[^\s_])(?![A-ZÆØÅ]+__)[^\n]+?(?<=[^\s_])__(?![\w_])"),
     ("markdown", "strike", 8, r"~~(?=\S)[^~\n]+?(?<=\S)~~"),
@@ -283,14 +285,26 @@ def run_cost(run: str) -> float:
     return min(RUN_MOST, RUN + RUN_WORD * language_scores(WORD.findall(run.lower()))[0])
 
 
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that meet made one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def label(text: str, nodes: list[Node], noise: list[tuple[int, int]] | None = None) -> list[bool]:
     """True for each construct that the cut puts on the side of residue. Constructs of one language that follow each other
     on one line (and in one place of noise, or none) form one unit of the graph, so that a table of many cells stays small."""
     if not nodes:
         return []
     _parents(text, nodes)
-    noise = noise or []
-    place = [next((k for k, (s, e) in enumerate(noise) if s <= n.start and n.end <= e), -1) for n in nodes] if noise else [-1] * len(nodes)
+    noise = merged_spans(noise or [])
+    starts = [s for s, _ in noise]
+    place = [k if (k := bisect_right(starts, n.start) - 1) >= 0 and n.end <= noise[k][1] else -1 for n in nodes]
     units: list[list[int]] = []
     unit_of = [0] * len(nodes)
     for i, n in enumerate(nodes):
@@ -378,6 +392,19 @@ def _outside(text: str, nodes: list[Node], start: int, end: int) -> str:
     return _ADDRESS.sub(" ", rest) if "://" in rest else rest
 
 
+class _Places:
+    """The constructs that reach into a place, found by bisection: they come in the order of their starts, and the greatest end
+    of those before tells how far back to look."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes = nodes
+        self.starts = [n.start for n in nodes]
+        self.reach = list(accumulate((n.end for n in nodes), max))
+
+    def within(self, start: int, end: int) -> list[Node]:
+        return self.nodes[bisect_right(self.reach, start):bisect_left(self.starts, end)]
+
+
 def _noisy(rest: str) -> tuple[bool, bool]:
     """Whether what stands outside the constructs is encoded or unreadable; whether it is text by its function words."""
     words = rest.split()
@@ -391,7 +418,8 @@ def _noisy(rest: str) -> tuple[bool, bool]:
 def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
     """Places of machine output and unreadable signs, whose signs are no markup: lines of JSON, blocks of logs, encoded
     blocks, symbol noise. Blocks end at blank lines; what stands in code, formulas and comments is not judged."""
-    held = [(n.start, n.end) for n in nodes if n.kind in _HOLDERS]
+    places = _Places(nodes)
+    held = _Places([n for n in nodes if n.kind in _HOLDERS])
     spans: list[tuple[int, int]] = []
     cuts = [0, *(m.end() for m in _BLANK_LINE.finditer(text)), len(text)]
     whole, _ = _noisy(_outside(text, nodes, 0, len(text)))
@@ -400,7 +428,7 @@ def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
         at = s
         for l in text[s:e].split("\n"):
             here, at = at, at + len(l) + 1
-            if not l.strip() or any(a <= here and here + len(l) <= b for a, b in held):
+            if not l.strip() or any(n.start <= here and here + len(l) <= n.end for n in held.within(here, here + 1)):
                 continue
             lines += 1
             logs += bool(_LOGLINE.match(l))
@@ -412,7 +440,7 @@ def noise_spans(text: str, nodes: list[Node]) -> list[tuple[int, int]]:
             if whole:
                 spans.append((s, e))
         else:
-            rest = _outside(text, nodes, s, e)
+            rest = _outside(text, places.within(s, e), s, e)
             noisy, is_text = _noisy(rest)
             if noisy or whole and not is_text and rest.strip():
                 spans.append((s, e))
@@ -439,8 +467,9 @@ SAMPLE, FIRST = 5_000, 30.0
 def kinds_seen(text: str) -> list[tuple[str, str, bool]]:
     """(language, kind, in noise) of a text's constructs, each once."""
     nodes = constructs(text)
-    spans = noise_spans(text, nodes) if nodes else []
-    return sorted({(n.lang, n.kind, any(s <= n.start and n.end <= e for s, e in spans)) for n in nodes})
+    spans = merged_spans(noise_spans(text, nodes)) if nodes else []
+    starts = [s for s, _ in spans]
+    return sorted({(n.lang, n.kind, (k := bisect_right(starts, n.start) - 1) >= 0 and n.end <= spans[k][1]) for n in nodes})
 
 
 def costs_of(counts: dict[tuple[str, str], tuple[int, int]]) -> Costs:
@@ -505,7 +534,7 @@ def _rewrite(n: Node, g: str, entry: str = "- ") -> str:
     k = n.kind
     if n.lang == "html":
         if k == "entity":
-            return html.unescape(g).replace(" ", " ")
+            return html.unescape("&" + re.sub(r"^&(?:amp;)*(?=.)", "", g)).replace("\u00a0", " ")  # however often it was escaped
         if k == "pre":
             return _indented(re.sub(r"<[^<>]+>", "", g))
         if k == "tag":

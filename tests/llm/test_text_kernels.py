@@ -147,6 +147,25 @@ def test_no_length_or_depth_is_cut(text, languages, clean):
     assert markup.found(clean) == [] if languages else True
 
 
+@pytest.mark.parametrize(
+    "unit", ["<p>En <b>stor</b> by &amp; å.</p>\n\n<ul><li>a</li></ul>\n", "## By\n\nEn **stor** [by](u) og *ja*.\n\n", '{"a_b": 1, "c": "*x*", "d": 2}\n\n' + PROSE + " **ja**\n\n", "> ", "```\n", "2024-01-02 10:00:00 INFO x_y=1 *z*\n"]
+)
+def test_very_long_texts_take_time_in_proportion(unit):
+    import time
+
+    took = []
+    for n in (300, 3000):
+        began = time.process_time()
+        markup.found(unit * n)
+        markup.clean_text(unit * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 25 * took[0] + 0.5
+
+
+def test_entities_escaped_any_number_of_times():
+    assert markup.clean_text("a &" + "amp;" * 5000 + "lt; b") == "a < b" and markup.clean_text("A &amp; B &amp;amp; &nbsp;C") == "A & B &  C"
+
+
 def test_signs_let_every_construct_pass():
     import re
 
