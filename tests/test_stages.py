@@ -315,6 +315,14 @@ def test_run_everything_isolates_failures_and_resumes(spark, tmp_path, monkeypat
     assert spark.read.parquet(str(tmp_path / "data/egen/final.parquet")).count() == len(first)
 
 
+def test_a_source_without_usable_text_goes_through_all_stages(spark, tmp_path, capsys):
+    spark.createDataFrame([("kort",), (None,)], "text string").coalesce(1).write.parquet(str(tmp_path / "source.parquet"))
+    for _ in range(2):
+        pipeline.run_all(spark, settings.load_settings(str(tmp_path), 1.0, {}))
+    assert spark.read.parquet(str(tmp_path / "final.parquet")).count() == 0
+    assert "extract: 0 paragraphs of 1 documents with text" in capsys.readouterr().out
+
+
 def test_options():
     o = cli.parser().parse_args(["extract", "--subset", "ft", "-n", "5", "--min-chars", "50"])
     assert (o.subset, o.n_samples, o.min_chars, o.max_chars, o.seed, o.data_dir) == ("ft", 5, 50, 3000, 42, "data")
